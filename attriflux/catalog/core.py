@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attriflux.catalog.inputs import (
-    DOUBLE_COLUMNS, FACT_COLUMNS, FEATURE_COLUMNS, columns_sql, div, event_facts, r, sales_facts, sales_features, sql)
+    DOUBLE_COLUMNS, FACT_COLUMNS, FEATURE_COLUMNS, columns_sql, event_facts, once, r, sales_facts, sales_features, sql)
 from attriflux.functions.columns import half_even, rounded
 from attriflux.operators import features as fe
 from attriflux.operators import reports as rep
@@ -98,14 +98,25 @@ _normalised = {
   c_date, clicks * 10 AS impressions, clicks, CAST(trunc(CAST(leads AS DOUBLE) * 1.5::DOUBLE * 0.6::DOUBLE) AS BIGINT) AS leads,
   orders, 0::DOUBLE AS mark_spent, revenue FROM sales""",
 }
-_raws = {"google_ads": google_raw, "meta_ads": meta_raw, "tiktok_ads": tiktok_raw, "ga4": ga4_raw}
+_payloads = {"google_ads": google_raw, "meta_ads": meta_raw, "tiktok_ads": tiktok_raw, "ga4": ga4_raw}
+
+
+def landed(spark: SparkSession, folder: str, platform: str) -> DataFrame:
+    """A platform's raw export as it lands: one JSON text per line, written once per session."""
+    def land():
+        path = fresh_path(spark, f"landed-{platform}")
+        _payloads[platform](spark, folder).write.text(path)
+        return path
+    return spark.read.text(once(spark, folder, f"landed-{platform}", land)).withColumnRenamed("value", "payload")
+
+
 _unified_list = columns_sql(UNIFIED_COLUMNS, MONEY, 4)
 
 
 def _register_normalisers() -> None:
-    for platform, raw in _raws.items():
-        def run(spark, folder, platform=platform, raw=raw):
-            return rounded(pf.NORMALISERS[platform](raw(spark, folder)), 4)
+    for platform in _payloads:
+        def run(spark, folder, platform=platform):
+            return rounded(pf.NORMALISERS[platform](landed(spark, folder, platform)), 4)
         register(f"normalise_{platform}", sql(f"SELECT {_unified_list} FROM ({_normalised[platform]})", "sales"))(run)
 
 
@@ -159,7 +170,7 @@ def validate_unified(spark, folder):
 
 
 def _combined(spark, folder):
-    frames = {name: (lambda n=name, raw=raw: pf.NORMALISERS[n](raw(spark, folder))) for name, raw in _raws.items()}
+    frames = {name: (lambda n=name: pf.NORMALISERS[n](landed(spark, folder, n))) for name in _payloads}
     frames["web"] = lambda: event_facts(spark, folder)
     frames["incomplete"] = lambda: event_facts(spark, folder).drop("revenue")   # left out and reported
     combined, errors = fs.combine_sources(frames)

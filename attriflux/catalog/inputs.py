@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 
-from attriflux.functions.columns import rounded
 from attriflux.operators.features import engineer_features
-from attriflux.operators.journeys import touchpoints
-from attriflux.schemas import FORECAST_FEATURES, ANOMALY_FEATURES, TRACKING_METHODS
+from attriflux.operators.journeys import CHANNEL_ROWS, DETECTION_RATES, build_journeys, touchpoints
+from attriflux.schemas import ANOMALY_FEATURES, TRACKING_METHODS
 from attriflux.sources.derived import (
     CHANNEL_BOUNDS, DRAW_FACTORS, TRAIT_FACTORS, facts_from_events, facts_from_sales, table, touch_events)
-from attriflux.operators.journeys import CHANNEL_ROWS, DETECTION_RATES
 
 
 def sales_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,6 +32,22 @@ def touch_table(spark: SparkSession, folder: str) -> DataFrame:
     return touchpoints(raw_touches(spark, folder))
 
 
+def journey_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The journeys without tracking columns, which is all that attribution needs."""
+    return build_journeys(raw_touches(spark, folder))
+
+
+_made: dict = {}
+
+
+def once(spark: SparkSession, folder: str, name: str, make):
+    """Inputs that several queries share (landed files, written tables, trained models) are made once per session."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
+
+
 # ---- SQL ----
 
 def r(expression: str, digits: int = 6) -> str:

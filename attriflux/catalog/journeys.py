@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from attriflux.catalog.core import register
-from attriflux.catalog.inputs import columns_sql, r, raw_touches, sql, touch_table
+from attriflux.catalog.inputs import columns_sql, journey_table, r, raw_touches, sql, touch_table
 from attriflux.functions.columns import rounded
 from attriflux.operators import attribution as at
 from attriflux.operators import journeys as jo
@@ -78,7 +78,7 @@ _models = {"last_click": ("lastclick", at.last_click), "first_click": ("firstcli
 def _register_models() -> None:
     for name, (cte, model) in _models.items():
         def run(spark, folder, model=model):
-            return rounded(model(touch_table(spark, folder)), 4)
+            return rounded(model(journey_table(spark, folder)), 4)
         register(f"attribution_{name}", sql(
             f"SELECT {columns_sql(RESULT_COLUMNS, ['attributed_revenue'], 4)} FROM {cte}", cte))(run)
 
@@ -90,7 +90,7 @@ _all_sql = sql(f"SELECT {columns_sql(RESULT_COLUMNS, ['attributed_revenue'], 4)}
 
 @register("attribution_all_models", _all_sql)
 def attribution_all_models(spark, folder):
-    return rounded(at.attribution(touch_table(spark, folder)), 4)
+    return rounded(at.attribution(journey_table(spark, folder)), 4)
 
 
 _rev = ", ".join(f"{r(f'''coalesce(sum(attributed_revenue) FILTER (WHERE model = '{m}'), 0)''', 2)} AS {m}" for m in ATTRIBUTION_MODELS)
@@ -100,7 +100,7 @@ _compare_sql = sql(f"SELECT *, {_pct} FROM (SELECT channel, {_rev} FROM attribut
 
 @register("compare_models", _compare_sql)
 def compare_models(spark, folder):
-    return at.compare_models(at.attribution(touch_table(spark, folder)))
+    return at.compare_models(at.attribution(journey_table(spark, folder)))
 
 
 _shares = f"""
@@ -117,7 +117,7 @@ SELECT *, {r('shapley_pct - last_click_pct', 1)} AS pct_difference FROM (
   CASE WHEN pct_difference > 3 THEN 'UNDERVALUED by last-click' WHEN pct_difference < -3 THEN 'OVERVALUED by last-click'
        ELSE 'Fairly valued' END AS verdict FROM ({_shares})""", "lastclick", "shapleymodel"))
 def find_misattribution(spark, folder):
-    return rounded(at.find_misattribution(at.attribution(touch_table(spark, folder), ["last_click", "shapley"])), 4)
+    return rounded(at.find_misattribution(at.attribution(journey_table(spark, folder), ["last_click", "shapley"])), 4)
 
 
 _seen = "count(*) FILTER (WHERE {}_visible)"
@@ -213,7 +213,7 @@ def attribution_insights(spark, folder):
 @register("save_results", _all_sql)
 def save_results(spark, folder):
     path = fresh_path(spark, "results")
-    save_table(at.attribution(touch_table(spark, folder)), path)
+    save_table(at.attribution(journey_table(spark, folder)), path)
     return rounded(spark.read.parquet(path), 4)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attriflux.catalog.core import KEY, register
-from attriflux.catalog.inputs import columns_sql, div, r, sales_features, sql
+from attriflux.catalog.inputs import once, r, sales_features, sql
 from attriflux.explain import report as er
 from attriflux.explain import shap as sh
 from attriflux.functions.columns import half_even, rounded
@@ -145,23 +145,12 @@ def select_best_model(spark, folder):
 
 # ---- training ----
 
-_fitted: dict = {}
-
-
-def _once(spark: SparkSession, folder: str, name: str, make):
-    """Models are trained once per session and data folder; other queries on them reuse the fit."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _fitted:
-        _fitted[key] = make()
-    return _fitted[key]
-
-
 def anomaly_comparison(spark: SparkSession, folder: str) -> mo.Comparison:
-    return _once(spark, folder, "anomaly", lambda: mo.compare_anomaly_models(_written_features(spark, folder)))
+    return once(spark, folder, "anomaly", lambda: mo.compare_anomaly_models(_written_features(spark, folder)))
 
 
 def forecast_comparison(spark: SparkSession, folder: str) -> mo.Comparison:
-    return _once(spark, folder, "forecast", lambda: mo.compare_forecast_models(_written_features(spark, folder)))
+    return once(spark, folder, "forecast", lambda: mo.compare_forecast_models(_written_features(spark, folder)))
 
 
 def _written_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -170,7 +159,7 @@ def _written_features(spark: SparkSession, folder: str) -> DataFrame:
         path = fresh_path(spark, "training")
         sales_features(spark, folder).write.parquet(path)
         return path
-    return spark.read.parquet(_once(spark, folder, "features", write))
+    return spark.read.parquet(once(spark, folder, "features", write))
 
 
 def _register_training() -> None:

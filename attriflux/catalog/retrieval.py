@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attriflux.catalog.core import register
-from attriflux.catalog.inputs import CTES, r, sales_features, sql, table
+from attriflux.catalog.inputs import CTES, once, r, sales_features, sql, table
 from attriflux.functions.columns import half_even, rounded
 from attriflux.operators import documents as do
 from attriflux.operators import retrieval as re_
@@ -138,20 +138,23 @@ def query_topk_filtered(spark, folder):
     return _shown(re_.query_topk_filtered(items, _centres(items), F.col("label") >= 5, 5))
 
 
-def _retrieved(spark: SparkSession, folder: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    docs = documents(spark, folder)
-    encoder = re_.TextEncoder.fit(docs)
+def _index(spark: SparkSession, folder: str) -> tuple[DataFrame, re_.TextEncoder]:
+    path = once(spark, folder, "index", lambda: re_.create_index(sales_features(spark, folder), fresh_path(spark, "index")))
+    return re_.load_index(spark, path)
+
+
+def _retrieved(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    docs, encoder = _index(spark, folder)
     questions = re_.question_frame(spark)
-    hits = re_.query_topk(encoder.embed(docs), encoder.embed(questions, "question"), 3)
-    return re_.with_documents(hits, docs).select("query_id", "rank", *columns), questions
+    hits = re_.query_topk(docs, encoder.embed(questions, "question"), 3)
+    return re_.with_documents(hits, docs), questions
 
 
 @register("batch_questions", sql(f"""SELECT query_id, rank, doc_id, {r('distance', 4)} AS distance, split_part(text, chr(10), 1) AS first_line
 FROM hits JOIN docs ON doc_id = id""", "hits", "docs"))
 def batch_questions(spark, folder):
-    docs = documents(spark, folder)
-    encoder = re_.TextEncoder.fit(docs)
-    out = re_.batch_questions(encoder.embed(docs), encoder, re_.question_frame(spark), 3)
+    docs, encoder = _index(spark, folder)
+    out = re_.batch_questions(docs, encoder, re_.question_frame(spark), 3)
     return rounded(out.withColumn("rank", F.col("rank").cast("bigint")), 4)
 
 
@@ -162,7 +165,7 @@ _escape = lambda text: "'" + text.replace("'", "''") + "'"
   {_escape(do.CONTEXT_HEAD)} || string_agg(text, {_escape(do.CONTEXT_SEPARATOR)} ORDER BY rank) || {_escape(do.QUESTION_HEAD)} || min(question) AS user_message
 FROM hits JOIN docs ON doc_id = id JOIN questions USING (query_id) GROUP BY query_id""", "hits", "docs", "questions"))
 def build_prompt(spark, folder):
-    hits, questions = _retrieved(spark, folder, ["text"])
+    hits, questions = _retrieved(spark, folder)
     out = do.build_prompt(hits, questions)
     return out.select("query_id", F.col("messages")[0]["content"].alias("system_message"),
                       F.col("messages")[1]["content"].alias("user_message"))
@@ -172,7 +175,7 @@ def build_prompt(spark, folder):
   string_agg(DISTINCT campaign_name, ',' ORDER BY campaign_name) AS distinct_campaigns
 FROM hits JOIN docs ON doc_id = id GROUP BY query_id""", "hits", "docs"))
 def answer_sources(spark, folder):
-    hits, _ = _retrieved(spark, folder, ["metadata"])
+    hits, _ = _retrieved(spark, folder)
     out = do.answer_sources(hits)
     return out.select("query_id", "sources_count", F.array_join("source_campaigns", ",").alias("source_campaigns"),
                       F.array_join("distinct_campaigns", ",").alias("distinct_campaigns"))

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
 from math import factorial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import (
     GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel)
 from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attriflux.functions.arrays import from_matrix, to_matrix
 from attriflux.functions.columns import key_fraction
 from attriflux.ml.isolation_forest import IsolationForest, anomaly_scores
 from attriflux.ml.models import Trained
@@ -21,7 +22,6 @@ from attriflux.ml.prepare import business_key, clean_features
 from attriflux.session import fresh_path
 
 BACKGROUND_ROWS = 50
-ROWS_AT_ONCE = 64
 
 
 # ---- linear models ----
@@ -136,10 +136,9 @@ def shap_tree(df: DataFrame, features: list[str], leaves: list[tuple], out: str
     tables = [(f, low, high, 1 << np.arange(len(f)), leaf_table(z, v)) for f, low, high, z, v in leaves if len(f)]
     sent = df.sparkSession.sparkContext.broadcast(tables)   # as large as the model
 
-    @F.pandas_udf("array<double>")
-    def values(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(list(tree_shap_values(sent.value, np.stack(batch.to_list())))) if len(batch) else batch
+    @F.arrow_udf("array<double>")
+    def values(rows: pa.Array) -> pa.Array:
+        return from_matrix(tree_shap_values(sent.value, to_matrix(rows, len(features))))
 
     return df.withColumn(out, values(F.array(*[F.col(c).cast("double") for c in features])))
 
@@ -157,11 +156,12 @@ def coalition_weights(k: int) -> np.ndarray:
 def kernel_shap_values(predict: Callable[[np.ndarray], np.ndarray], background: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """All 2^k coalitions: features outside a coalition take the background rows' values."""
     k = rows.shape[1]
-    inside = ((np.arange(2 ** k)[:, None] >> np.arange(k)[None, :]) & 1).astype(bool)
+    inside = ((np.arange(2 ** k)[:, None] >> np.arange(k)[None, :]) & 1).astype("float64")
+    outside = (1.0 - inside)[:, None, :] * background[None, :, :]
     weights = coalition_weights(k)
     out = np.empty(rows.shape)
     for i, row in enumerate(rows):
-        mixed = np.where(inside[:, None, :], row, background[None, :, :])
+        mixed = outside + (inside * row)[:, None, :]
         out[i] = weights @ predict(mixed.reshape(-1, k)).reshape(len(inside), -1).mean(axis=1)
     return out
 
@@ -178,11 +178,9 @@ def shap_kernel(df: DataFrame, features: list[str], predict: Callable[[np.ndarra
     background = background_sample(df, features) if background is None else background
     sent = df.sparkSession.sparkContext.broadcast(background)
 
-    @F.pandas_udf("array<double>")
-    def values(batch: pd.Series) -> pd.Series:
-        if not len(batch):
-            return batch
-        return pd.Series(list(kernel_shap_values(predict, sent.value, np.stack(batch.to_list()))))
+    @F.arrow_udf("array<double>")
+    def values(rows: pa.Array) -> pa.Array:
+        return from_matrix(kernel_shap_values(predict, sent.value, to_matrix(rows, len(features))))
 
     return df.withColumn(out, values(F.array(*[F.col(c).cast("double") for c in features])))
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attriflux.functions.arrays import to_matrix
 from attriflux.functions.columns import key_fraction
 
 TREES = 100
@@ -127,11 +128,11 @@ class IsolationForest:
         sent = df.sparkSession.sparkContext.broadcast(self.trees)
         sample_rows = self.sample_rows
 
-        @F.pandas_udf("double")
-        def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for batch in batches:
-                yield pd.Series(
-                    anomaly_scores(sent.value, sample_rows, np.stack(batch.to_list())) if len(batch) else np.zeros(0))
+        width = len(self.features)
+
+        @F.arrow_udf("double")
+        def scored(rows: pa.Array) -> pa.Array:
+            return pa.array(anomaly_scores(sent.value, sample_rows, to_matrix(rows, width)))
 
         return df.withColumn(out, scored(F.array(*[F.col(c).cast("double") for c in self.features])))
 

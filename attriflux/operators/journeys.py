@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +27,8 @@ DETECTION_RATES = {"cookie": 0.95, "utm": 0.90, "fingerprint": 0.70, "referrer":
 
 
 def channel_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CHANNEL_ROWS, "channel string, funnel_position string, avg_cpc double, trackable_without_cookies boolean")
+    columns = ["channel", "funnel_position", "avg_cpc", "trackable_without_cookies"]
+    return spark.createDataFrame(pd.DataFrame(CHANNEL_ROWS, columns=columns))
 
 
 def enrich_channel(df: DataFrame, channels: DataFrame | None = None) -> DataFrame:
@@ -36,60 +37,74 @@ def enrich_channel(df: DataFrame, channels: DataFrame | None = None) -> DataFram
     return df.join(F.broadcast(channels), "channel", "left")
 
 
-def build_journeys(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Number each user's touches in (ts, event_id) order and split them after every conversion.
-
-    Adds path_id and touch_index (both from 0), n_touches of the path,
-    is_converting_touch (the last touch of a path that converts) and
-    revenue: the value on the converting touch, missing on the other touches
-    of a converting path, 0 on paths without conversion.
+def _slice(is_hot: Column) -> Column:
+    """The minute of a hot user's touch; one common slice for the touches of any other user."""
+    whole = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.when(is_hot, F.date_trunc(SLICE, "ts").cast("timestamp_ntz")).otherwise(whole)
 
-    Positions are counted in two steps, so that no user has to fit in a
-    task: inside (user, slice), then over the users' slices. Usual users
-    have a single slice; users above ``hot_rows`` (at most rows / hot_rows
-    of them, hence a safe broadcast) have one per minute.
-    """
-    counts = touches.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.filter(F.col("n") > hot_rows).select("user_id", F.lit(True).alias("_hot"))
-    sliced = touches.join(F.broadcast(hot), "user_id", "left").withColumn(
-        "_slice", F.when(F.col("_hot"), F.date_trunc(SLICE, "ts"))).drop("_hot")
 
-    # step 1: positions inside a slice
-    keys = ["user_id", "_slice"]
-    w = Window.partitionBy(*keys).orderBy("ts", "event_id")
+def _positions_in_slice(sliced: DataFrame) -> DataFrame:
+    """Row number, conversions before the row, and the last and next conversion's row, inside the slice."""
+    w = Window.partitionBy("user_id", "_slice").orderBy("ts", "event_id")
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    converts = F.col("is_conversion")
-    inside = sliced.withColumn("_rn", F.row_number().over(w).cast("bigint"))
-    inside = inside.withColumn("_conv_rn", F.when(converts, F.col("_rn")))
-    inside = inside.withColumns({
+    numbered = sliced.withColumn("_rn", F.row_number().over(w).cast("bigint"))
+    numbered = numbered.withColumn("_conv_rn", F.when(F.col("is_conversion"), F.col("_rn")))
+    return numbered.withColumns({
         "_convs_before": F.count("_conv_rn").over(earlier),
-        "_last_conv": F.max("_conv_rn").over(earlier)})
-    inside = inside.withColumn(
-        "_next_conv",
-        F.min("_conv_rn").over(w.rowsBetween(0, Window.unboundedFollowing)))
-
-    # step 2: offsets of the slices of a user
-    slices = inside.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.count("_conv_rn").alias("_c"),
-        F.min("_conv_rn").alias("_first"), F.max("_conv_rn").alias("_last"))
+        "_last_conv": F.max("_conv_rn").over(earlier),
+        "_next_conv": F.min("_conv_rn").over(w.rowsBetween(0, Window.unboundedFollowing))})
+
+
+def _slice_offsets(touches: DataFrame) -> DataFrame:
+    """Rows and conversions of a hot user before each slice, and the nearest conversions outside it.
+
+    One row per user and minute is left when the users' slices are put in order.
+    """
+    w = Window.partitionBy("user_id", "_slice").orderBy("ts", "event_id")
+    numbered = touches.select("user_id", _slice(F.lit(True)).alias("_slice"), "ts", "event_id", "is_conversion")
+    numbered = numbered.withColumn("_rn", F.row_number().over(w).cast("bigint"))
+    conv_rn = F.when(F.col("is_conversion"), F.col("_rn"))
+    slices = numbered.groupBy("user_id", "_slice").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(conv_rn).alias("_c"),
+        F.min(conv_rn).alias("_first"), F.max(conv_rn).alias("_last"))
     by_slice = Window.partitionBy("user_id").orderBy("_slice")
     past = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     future = by_slice.rowsBetween(1, Window.unboundedFollowing)
-    whole = Window.partitionBy("user_id")
     slices = slices.withColumns({
         "_offset": F.coalesce(F.sum("_n").over(past), F.lit(0)),
         "_conv_offset": F.coalesce(F.sum("_c").over(past), F.lit(0)),
-        "_user_rows": F.sum("_n").over(whole)})
+        "_user_rows": F.sum("_n").over(Window.partitionBy("user_id"))})
     slices = slices.withColumns({
         "_carried": F.max(F.col("_offset") + F.col("_last")).over(past),
         "_coming": F.min(F.col("_offset") + F.col("_first")).over(future)})
-    offsets = slices.select(
-        F.col("user_id").alias("_user"), F.col("_slice").alias("_part"),
-        "_offset", "_conv_offset", "_user_rows", "_carried", "_coming")
+    return slices.select("user_id", "_slice", "_offset", "_conv_offset", "_user_rows", "_carried", "_coming")
+
+
+def build_journeys(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Number each user's touches in (ts, event_id) order and split them after every conversion.
+
+    Adds path_id and touch_index (both from 0), n_touches of the path,
+    is_converting_touch (the last touch of a path that converts) and
+    revenue: the value on the converting touch, missing on the other touches
+    of a converting path, 0 on paths without conversion.
 
-    joined = inside.join(
-        offsets, (F.col("user_id") == F.col("_user")) & F.col("_slice").eqNullSafe(F.col("_part")))
+    Positions are counted in two steps, so that no user has to fit in a
+    task: inside (user, slice), then over the users' slices. Usual users
+    have a single slice; users above ``hot_rows`` (at most rows / hot_rows
+    of them, hence a safe broadcast) have one per minute.
+    """
+    counts = touches.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.filter(F.col("n") > hot_rows).select("user_id")
+    sliced = touches.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "user_id", "left").withColumn(
+        "_slice", _slice(F.col("_hot"))).drop("_hot")
+    inside = _positions_in_slice(sliced)
+    inside = inside.withColumn("_whole", F.count(F.lit(1)).over(Window.partitionBy("user_id", "_slice")))
+    # only hot users have more than one slice, so only their touches are read again for the offsets
+    offsets = _slice_offsets(touches.join(F.broadcast(hot), "user_id", "left_semi"))
+    joined = inside.join(offsets, ["user_id", "_slice"], "left").withColumns({
+        "_offset": F.coalesce("_offset", F.lit(0)),
+        "_conv_offset": F.coalesce("_conv_offset", F.lit(0)),
+        "_user_rows": F.coalesce("_user_rows", "_whole")})
     start = F.coalesce(F.col("_offset") + F.col("_last_conv"), F.col("_carried"), F.lit(0))
     conversion_at = F.coalesce(F.col("_offset") + F.col("_next_conv"), F.col("_coming"))
     end = F.coalesce(conversion_at, F.col("_user_rows"))
@@ -97,8 +112,8 @@ def build_journeys(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         "path_id": F.col("_conv_offset") + F.col("_convs_before"),
         "touch_index": F.col("_offset") + F.col("_rn") - start - 1,
         "n_touches": end - start,
-        "is_converting_touch": converts,
-        "revenue": F.when(converts, F.col("value")).when(conversion_at.isNull(), F.lit(0.0))})
+        "is_converting_touch": F.col("is_conversion"),
+        "revenue": F.when(F.col("is_conversion"), F.col("value")).when(conversion_at.isNull(), F.lit(0.0))})
     return out.select(
         *[c for c in touches.columns if c not in ("is_conversion", "value")],
         "path_id", "touch_index", "n_touches", "is_converting_touch", "revenue")

@@ -8,9 +8,13 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from attriflux.functions.arrays import from_matrix, to_matrix
 from attriflux.operators.documents import create_documents
 from attriflux.session import fresh_path
 
@@ -27,7 +31,8 @@ QUESTIONS = [
 
 
 def question_frame(spark: SparkSession, questions: list[str] = QUESTIONS) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(questions)), "query_id int, question string")
+    rows = pd.DataFrame(enumerate(questions), columns=["query_id", "question"]).astype({"query_id": "int32"})
+    return spark.createDataFrame(rows)
 
 
 def term_slots(text: Column) -> Column:
@@ -56,15 +61,15 @@ class TextEncoder:
         """Slots are computed in the JVM; only they, not the texts, go through Arrow."""
         weights = np.array(self.weights)
 
-        @F.pandas_udf("array<double>")
-        def encode(slots: pd.Series) -> pd.Series:
-            sizes = slots.map(len).to_numpy()
-            flat = np.concatenate(slots.to_list()) if sizes.sum() else np.zeros(0, dtype="int64")
+        @F.arrow_udf("array<double>")
+        def encode(slots: pa.Array) -> pa.Array:
+            sizes = np.diff(slots.offsets.to_numpy())
+            flat = slots.flatten().to_numpy(zero_copy_only=False)
             cell = np.repeat(np.arange(len(slots)), sizes) * DIMENSIONS + flat
             tf = np.bincount(cell.astype("int64"), minlength=len(slots) * DIMENSIONS)
             vectors = tf.reshape(len(slots), DIMENSIONS) * weights
             norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-            return pd.Series(list(vectors / np.where(norms == 0, 1.0, norms)))
+            return from_matrix(vectors / np.where(norms == 0, 1.0, norms))
 
         return df.withColumn(out, encode(F.coalesce(term_slots(F.col(text)), F.array().cast("array<int>"))))
 
@@ -101,22 +106,25 @@ def _nearest(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, k: int) ->
     return ids[best], distance[best]
 
 
-def _scan(docs: DataFrame, block: list[tuple], k: int, doc_id: str, vec: str, query_type: str) -> DataFrame:
+def _scan(docs: DataFrame, block: list[tuple], k: int, doc_id: str, vec: str, query_type: T.DataType) -> DataFrame:
     """One pass over the documents for one block of queries: each task keeps the best k per query."""
     query_ids = [q for q, _ in block]
     queries = docs.sparkSession.sparkContext.broadcast(
         np.array([v for _, v in block], dtype="float64").reshape(len(block), -1))
-    id_type = docs.schema[doc_id].dataType.simpleString()
+    out = T.StructType([
+        T.StructField("query_id", query_type), T.StructField("doc_id", docs.schema[doc_id].dataType),
+        T.StructField("distance", T.DoubleType())])
+    schema = to_arrow_schema(out)
 
-    def best_of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def best_of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = queries.value
         squares = (q ** 2).sum(axis=1)
         found: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(q)
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            ids = batch[doc_id].to_numpy()
-            vectors = np.stack(batch[vec].to_list()).astype("float64")
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            vectors = to_matrix(batch.column(1), q.shape[1])
             # the product is fast but noisy in its last digits: it picks candidates, exact distances rank them
             rough = (vectors ** 2).sum(axis=1)[:, None] + squares[None, :] - 2.0 * (vectors @ q.T)
             for j in range(len(q)):
@@ -135,10 +143,10 @@ def _scan(docs: DataFrame, block: list[tuple], k: int, doc_id: str, vec: str, qu
                 found[j] = (hit_ids, hit_distance)
         for j, hit in enumerate(found):
             if hit is not None:
-                yield pd.DataFrame({"query_id": [query_ids[j]] * len(hit[0]), "doc_id": hit[0], "distance": hit[1]})
+                yield pa.RecordBatch.from_pydict(
+                    {"query_id": [query_ids[j]] * len(hit[0]), "doc_id": hit[0], "distance": hit[1]}, schema)
 
-    hits = docs.select(doc_id, vec).mapInPandas(
-        best_of_partition, f"query_id {query_type}, doc_id {id_type}, distance double")
+    hits = docs.select(doc_id, vec).mapInArrow(best_of_partition, out)
     # k rows per query and task are left
     w = Window.partitionBy("query_id").orderBy("distance", "doc_id")
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -153,7 +161,7 @@ def query_topk(docs: DataFrame, queries: DataFrame, top_k: int = 5, doc_id: str
     pass over the documents; results are gathered in a table.
     """
     spark = docs.sparkSession
-    query_type = queries.schema["query_id"].dataType.simpleString()
+    query_type = queries.schema["query_id"].dataType
     wanted = queries.select("query_id", F.col(vec).alias("vec"))
     first = [(r[0], r[1]) for r in wanted.limit(block + 1).collect()]
     if len(first) <= block:

@@ -27,7 +27,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _cents(value: Column) -> Column:
-    return F.round(value * 100).cast("bigint")
+    return F.rint(value * 100).cast("bigint")
 
 
 def facts_from_sales(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
