@@ -95,15 +95,18 @@ class IsolationForest:
         """Grow the trees on hash samples of the rows, then place the threshold on all training rows.
 
         The rows with the smallest key hashes form a pool of at most
-        trees x 256 rows, found with one heap per task. Each tree takes the
+        trees x 256 rows. Each tree takes the
         256 rows of the pool with the smallest hashes of (tree, key), so the
         pool bounds what any tree's task receives. The forest itself, at most
         trees x 512 nodes, comes back to the driver.
         """
         draw = key_fraction(F.lit(seed), *key)
-        pool = train.select(
+        wanted = trees * SAMPLE_ROWS
+        drawn = train.select(
             draw.alias("_draw"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
-        pool = pool.orderBy("_draw", "x").limit(trees * SAMPLE_ROWS)
+        # twice as many rows as wanted pass the cut on average, so that the sort below sees no more than that
+        cut = 2.0 * wanted / max(train.count(), 1)
+        pool = drawn.filter(F.col("_draw") < cut).orderBy("_draw", "x").limit(wanted)
         offered = pool.select("x", "_draw", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
         offered = offered.withColumn("_order", key_fraction("tree", "_draw"))
 
@@ -119,9 +122,9 @@ class IsolationForest:
             "left": np.array(r["left"], dtype="int64"), "right": np.array(r["right"], dtype="int64"),
             "depth": np.array(r["depth"])} for r in rows)
         forest = cls(tuple(features), grown, max(r["n_rows"] for r in rows))
-        cut = forest.score(train).agg(
+        threshold = forest.score(train).agg(
             F.percentile_approx("score", 1.0 - contamination, QUANTILE_ACCURACY)).first()[0]
-        return cls(forest.features, forest.trees, forest.sample_rows, float(cut))
+        return cls(forest.features, forest.trees, forest.sample_rows, float(threshold))
 
     def score(self, df: DataFrame, out: str = "score") -> DataFrame:
         """Anomaly score in (0, 1]; higher is more unusual."""

@@ -20,7 +20,7 @@ from attriflux.ml.metrics import classification_metrics, long_metrics, regressio
 from attriflux.ml.prepare import (
     SEED, Scaler, business_key, clean_features, split_random, split_stratified, test_part, train_part)
 from attriflux.schemas import ANOMALY_FEATURES, FORECAST_FEATURES
-from attriflux.session import shared_folder
+from attriflux.session import use_checkpoints
 
 # Model names in the order in which they are declared.
 ANOMALY_MODELS = ["logistic_regression", "random_forest", "xgboost", "isolation_forest"]
@@ -111,15 +111,9 @@ def prepare_forecast(df: DataFrame) -> Prepared:
     return _prepare(df, FORECAST_FEATURES, "roas", stratified=False)
 
 
-def _cut_lineage(spark: SparkSession) -> None:
-    """Boosting checkpoints every tenth tree to the shared folder, so that long lineages are cut."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
-
-
 def _fit(prepared: Prepared, name: str, estimator: Any) -> Trained:
     train = prepared.vectors(prepared.train).persist()
-    _cut_lineage(train.sparkSession)
+    use_checkpoints(train.sparkSession)   # boosting cuts its lineage every tenth tree
     try:
         # boosting runs hundreds of short jobs: tasks are sized by rows, not by the shuffle's default
         tasks = max(1, -(-train.count() // ROWS_PER_TASK))

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attriflux.functions.columns import ratio
+from attriflux.operators.skew import HOT_ROWS, hot_keys, ordered_parts
 from attriflux.schemas import DERIVED_COLUMNS
 
 DROP_THRESHOLD = 0.8   # an anomaly is a fall below this share of the rolling mean
 ROLLING_ROWS = 3
-HOT_ROWS = 1_000_000   # a campaign with more rows than this is not windowed in one task
 
 
 def ctr() -> Column:
@@ -59,43 +59,38 @@ def _previous_and_rolling(df: DataFrame, *keys: str) -> DataFrame:
     })
 
 
-def hot_campaigns(df: DataFrame, hot_rows: int) -> DataFrame:
-    """Campaigns above ``hot_rows``: at most (rows / hot_rows) names, so the list is safe to broadcast."""
-    counts = df.groupBy("campaign_name").agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") > hot_rows).select("campaign_name")
-
-
 def _split_windows(df: DataFrame) -> DataFrame:
-    """Same columns as ``_previous_and_rolling`` without one task per campaign.
+    """Same columns as ``_previous_and_rolling`` for campaigns that are too large for one task.
 
-    Every (campaign, date, source) is a chunk of its own. Values inside a
-    chunk need only that chunk, except for its first two rows. Those are
-    redone over the chunk edges (first and last two rows of each chunk),
-    where the two rows before a chunk's head are always present.
+    The rows are cut into ordered parts. Values need only the row's own part,
+    except for the first two rows of a campaign in a part. Those are redone
+    over the edges (first and last two rows of each part), where the two rows
+    before them are always present.
     """
-    keys = ["campaign_name", "c_date"] + (["source"] if "source" in df.columns else [])
+    keys = ["campaign_name", "_part"]
+    parts = ordered_parts(df, ["campaign_name", *order_columns(df)])
     w = Window.partitionBy(*keys).orderBy(*order_columns(df))
     reach = ROLLING_ROWS - 1
-    marked = _previous_and_rolling(df, *keys).withColumns({
+    marked = _previous_and_rolling(parts, *keys).withColumns({
         "_head": F.lag(F.lit(1), reach).over(w).isNull(),
         "_tail": F.lead(F.lit(1), reach).over(w).isNull()})
     edges = marked.filter(F.col("_head") | F.col("_tail"))
     heads = _previous_and_rolling(edges, "campaign_name").filter("_head")
-    return marked.filter(~F.col("_head")).unionByName(heads).drop("_head", "_tail")
+    return marked.filter(~F.col("_head")).unionByName(heads).drop("_head", "_tail", "_part")
 
 
 def add_windows(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Previous values and rolling means per campaign.
 
     One exchange and one sort per campaign is the best plan while a campaign
-    fits in a task. Campaigns above ``hot_rows`` are split by date. Pass
-    None if the facts are known to be at their grain, one row per source,
-    campaign and date, which bounds a campaign by itself.
+    fits in a task. Campaigns above ``hot_rows`` are looked for first and cut
+    into parts. Pass None if the facts are known to be at their grain, one
+    row per source, campaign and date, which bounds a campaign by itself.
     """
     df = df.filter(F.col("campaign_name").isNotNull())
-    if hot_rows is None:
+    hot = None if hot_rows is None else hot_keys(df, "campaign_name", hot_rows)
+    if hot is None:
         return _previous_and_rolling(df, "campaign_name")
-    hot = F.broadcast(hot_campaigns(df, hot_rows))
     usual = _previous_and_rolling(df.join(hot, "campaign_name", "left_anti"), "campaign_name")
     return usual.unionByName(_split_windows(df.join(hot, "campaign_name", "left_semi")))
 

@@ -6,11 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from attriflux.operators.skew import HOT_ROWS, hot_keys, ordered_parts
 from attriflux.schemas import TRACKING_METHODS
 
-HOT_ROWS = 1_000_000   # a user with more touches than this is numbered in slices of time
-SLICE = "minute"       # slice of time for such users
-
 # Channel, funnel position, average cost per click, seen without cookies.
 CHANNEL_ROWS = [
     ("tiktok_paid", "top_funnel", 0.60, True),
@@ -33,21 +31,16 @@ def channel_dimension(spark: SparkSession) -> DataFrame:
 
 def enrich_channel(df: DataFrame, channels: DataFrame | None = None) -> DataFrame:
     """Add funnel position, average click cost and trackability; unknown channels keep nulls."""
-    channels = channel_dimension(df.sparkSession) if channels is None else channels
-    return df.join(F.broadcast(channels), "channel", "left")
-
-
-def _slice(is_hot: Column) -> Column:
-    """The minute of a hot user's touch; one common slice for the touches of any other user."""
-    whole = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.when(is_hot, F.date_trunc(SLICE, "ts").cast("timestamp_ntz")).otherwise(whole)
+    if channels is None:
+        channels = F.broadcast(channel_dimension(df.sparkSession))   # eight rows
+    return df.join(channels, "channel", "left")
 
 
-def _positions_in_slice(sliced: DataFrame) -> DataFrame:
-    """Row number, conversions before the row, and the last and next conversion's row, inside the slice."""
-    w = Window.partitionBy("user_id", "_slice").orderBy("ts", "event_id")
+def _positions(touches: DataFrame, *keys: str) -> DataFrame:
+    """Row number, conversions before the row, and rows of the last and next conversion, within the keys."""
+    w = Window.partitionBy(*keys).orderBy("ts", "event_id")
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    numbered = sliced.withColumn("_rn", F.row_number().over(w).cast("bigint"))
+    numbered = touches.withColumn("_rn", F.row_number().over(w).cast("bigint"))
     numbered = numbered.withColumn("_conv_rn", F.when(F.col("is_conversion"), F.col("_rn")))
     return numbered.withColumns({
         "_convs_before": F.count("_conv_rn").over(earlier),
@@ -55,29 +48,37 @@ def _positions_in_slice(sliced: DataFrame) -> DataFrame:
         "_next_conv": F.min("_conv_rn").over(w.rowsBetween(0, Window.unboundedFollowing))})
 
 
-def _slice_offsets(touches: DataFrame) -> DataFrame:
-    """Rows and conversions of a hot user before each slice, and the nearest conversions outside it.
-
-    One row per user and minute is left when the users' slices are put in order.
-    """
-    w = Window.partitionBy("user_id", "_slice").orderBy("ts", "event_id")
-    numbered = touches.select("user_id", _slice(F.lit(True)).alias("_slice"), "ts", "event_id", "is_conversion")
-    numbered = numbered.withColumn("_rn", F.row_number().over(w).cast("bigint"))
-    conv_rn = F.when(F.col("is_conversion"), F.col("_rn"))
-    slices = numbered.groupBy("user_id", "_slice").agg(
-        F.count(F.lit(1)).alias("_n"), F.count(conv_rn).alias("_c"),
-        F.min(conv_rn).alias("_first"), F.max(conv_rn).alias("_last"))
-    by_slice = Window.partitionBy("user_id").orderBy("_slice")
-    past = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    future = by_slice.rowsBetween(1, Window.unboundedFollowing)
-    slices = slices.withColumns({
+def _part_offsets(positions: DataFrame) -> DataFrame:
+    """Per user and part: rows and conversions before it, and the nearest conversions outside it."""
+    parts = positions.groupBy("user_id", "_part").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("_conv_rn").alias("_c"),
+        F.min("_conv_rn").alias("_first"), F.max("_conv_rn").alias("_last"))
+    by_part = Window.partitionBy("user_id").orderBy("_part")
+    past = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    future = by_part.rowsBetween(1, Window.unboundedFollowing)
+    parts = parts.withColumns({
         "_offset": F.coalesce(F.sum("_n").over(past), F.lit(0)),
         "_conv_offset": F.coalesce(F.sum("_c").over(past), F.lit(0)),
         "_user_rows": F.sum("_n").over(Window.partitionBy("user_id"))})
-    slices = slices.withColumns({
+    parts = parts.withColumns({
         "_carried": F.max(F.col("_offset") + F.col("_last")).over(past),
         "_coming": F.min(F.col("_offset") + F.col("_first")).over(future)})
-    return slices.select("user_id", "_slice", "_offset", "_conv_offset", "_user_rows", "_carried", "_coming")
+    return parts.select("user_id", "_part", "_offset", "_conv_offset", "_user_rows", "_carried", "_coming")
+
+
+def _paths(positions: DataFrame, columns: list[str]) -> DataFrame:
+    """Path and touch numbers from the positions and the offsets of their part."""
+    start = F.coalesce(F.col("_offset") + F.col("_last_conv"), F.col("_carried"), F.lit(0))
+    conversion_at = F.coalesce(F.col("_offset") + F.col("_next_conv"), F.col("_coming"))
+    end = F.coalesce(conversion_at, F.col("_user_rows"))
+    converts = F.col("is_conversion")
+    out = positions.withColumns({
+        "path_id": F.col("_conv_offset") + F.col("_convs_before"),
+        "touch_index": F.col("_offset") + F.col("_rn") - start - 1,
+        "n_touches": end - start,
+        "is_converting_touch": converts,
+        "revenue": F.when(converts, F.col("value")).when(conversion_at.isNull(), F.lit(0.0))})
+    return out.select(*columns, "path_id", "touch_index", "n_touches", "is_converting_touch", "revenue")
 
 
 def build_journeys(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -88,35 +89,23 @@ def build_journeys(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     revenue: the value on the converting touch, missing on the other touches
     of a converting path, 0 on paths without conversion.
 
-    Positions are counted in two steps, so that no user has to fit in a
-    task: inside (user, slice), then over the users' slices. Usual users
-    have a single slice; users above ``hot_rows`` (at most rows / hot_rows
-    of them, hence a safe broadcast) have one per minute.
+    Users are numbered with one exchange and one sort. Users above
+    ``hot_rows`` are looked for first; theirs are cut into ordered parts,
+    numbered inside each part and shifted by what lies before it, so that no
+    user has to fit in a task.
     """
-    counts = touches.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.filter(F.col("n") > hot_rows).select("user_id")
-    sliced = touches.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "user_id", "left").withColumn(
-        "_slice", _slice(F.col("_hot"))).drop("_hot")
-    inside = _positions_in_slice(sliced)
-    inside = inside.withColumn("_whole", F.count(F.lit(1)).over(Window.partitionBy("user_id", "_slice")))
-    # only hot users have more than one slice, so only their touches are read again for the offsets
-    offsets = _slice_offsets(touches.join(F.broadcast(hot), "user_id", "left_semi"))
-    joined = inside.join(offsets, ["user_id", "_slice"], "left").withColumns({
-        "_offset": F.coalesce("_offset", F.lit(0)),
-        "_conv_offset": F.coalesce("_conv_offset", F.lit(0)),
-        "_user_rows": F.coalesce("_user_rows", "_whole")})
-    start = F.coalesce(F.col("_offset") + F.col("_last_conv"), F.col("_carried"), F.lit(0))
-    conversion_at = F.coalesce(F.col("_offset") + F.col("_next_conv"), F.col("_coming"))
-    end = F.coalesce(conversion_at, F.col("_user_rows"))
-    out = joined.withColumns({
-        "path_id": F.col("_conv_offset") + F.col("_convs_before"),
-        "touch_index": F.col("_offset") + F.col("_rn") - start - 1,
-        "n_touches": end - start,
-        "is_converting_touch": F.col("is_conversion"),
-        "revenue": F.when(F.col("is_conversion"), F.col("value")).when(conversion_at.isNull(), F.lit(0.0))})
-    return out.select(
-        *[c for c in touches.columns if c not in ("is_conversion", "value")],
-        "path_id", "touch_index", "n_touches", "is_converting_touch", "revenue")
+    columns = [c for c in touches.columns if c not in ("is_conversion", "value")]
+    hot = hot_keys(touches, "user_id", hot_rows)
+    usual = touches if hot is None else touches.join(hot, "user_id", "left_anti")
+    none = F.lit(None).cast("bigint")
+    out = _paths(_positions(usual, "user_id").withColumns({
+        "_offset": F.lit(0).cast("bigint"), "_conv_offset": F.lit(0).cast("bigint"), "_carried": none, "_coming": none,
+        "_user_rows": F.count(F.lit(1)).over(Window.partitionBy("user_id"))}), columns)
+    if hot is None:
+        return out
+    parts = ordered_parts(touches.join(hot, "user_id", "left_semi"), ["user_id", "ts", "event_id"])
+    positions = _positions(parts, "user_id", "_part")
+    return out.unionByName(_paths(positions.join(_part_offsets(positions), ["user_id", "_part"]), columns))
 
 
 def cross_device_flag() -> Column:

@@ -173,4 +173,4 @@ def model_leaderboard(metrics: DataFrame, metric: str, highest: bool, order: lis
     ranked = metrics.filter(F.col("metric") == metric).withColumn(
         "rank", F.row_number().over(Window.partitionBy("metric").orderBy(value, position)))
     best = ranked.select("model", (F.col("rank") == 1).alias("is_best"), F.col("rank").alias("model_rank"))
-    return metrics.join(F.broadcast(best), "model")
+    return metrics.join(best, "model")

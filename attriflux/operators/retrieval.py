@@ -50,14 +50,21 @@ class TextEncoder:
 
     @classmethod
     def fit(cls, df: DataFrame, text: str = "text") -> TextEncoder:
-        """Count the documents per slot. Slot -1 stands for every document; 385 counts come back."""
-        slots = F.array_append(F.array_distinct(term_slots(F.col(text))), F.lit(-1))
+        return cls.fit_slots(df.select(term_slots(F.col(text)).alias("slots")))
+
+    @classmethod
+    def fit_slots(cls, df: DataFrame) -> TextEncoder:
+        """Count the documents per slot. Slot -1 stands for every document; at most 385 counts come back."""
+        slots = F.array_append(F.array_distinct("slots"), F.lit(-1))
         rows = df.select(F.explode(slots).alias("slot")).groupBy("slot").count().collect()
         counts = {r["slot"]: r["count"] for r in rows}
         total = counts.pop(-1, 0)
         return cls(tuple(float(np.log((total + 1.0) / (counts.get(i, 0) + 1.0))) for i in range(DIMENSIONS)))
 
     def embed(self, df: DataFrame, text: str = "text", out: str = "vec") -> DataFrame:
+        return self.embed_slots(df.withColumn("slots", term_slots(F.col(text))), out).drop("slots")
+
+    def embed_slots(self, df: DataFrame, out: str = "vec") -> DataFrame:
         """Slots are computed in the JVM; only they, not the texts, go through Arrow."""
         weights = np.array(self.weights)
 
@@ -71,7 +78,7 @@ class TextEncoder:
             norms = np.linalg.norm(vectors, axis=1, keepdims=True)
             return from_matrix(vectors / np.where(norms == 0, 1.0, norms))
 
-        return df.withColumn(out, encode(F.coalesce(term_slots(F.col(text)), F.array().cast("array<int>"))))
+        return df.withColumn(out, encode(F.coalesce("slots", F.array().cast("array<int>"))))
 
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame([(list(self.weights),)], "weights array<double>").write.mode("overwrite").parquet(path)
@@ -89,9 +96,12 @@ def create_index(features: DataFrame, path: str | None = None) -> str:
     """Rebuild the index of a feature table: documents with vectors, and the encoder beside them."""
     spark = features.sparkSession
     path = path or fresh_path(spark, "index")
-    documents = create_documents(features)
-    encoder = TextEncoder.fit(documents)
-    encoder.embed(documents).write.mode("overwrite").parquet(f"{path}/documents")
+    # the slots are kept while the index is built: they are needed for the weights and for the vectors
+    staged = fresh_path(spark, "slots")
+    create_documents(features).withColumn("slots", term_slots(F.col("text"))).write.parquet(staged)
+    documents = spark.read.parquet(staged)
+    encoder = TextEncoder.fit_slots(documents)
+    encoder.embed_slots(documents).drop("slots").write.mode("overwrite").parquet(f"{path}/documents")
     encoder.save(spark, f"{path}/encoder")
     return path
 
@@ -165,7 +175,8 @@ def query_topk(docs: DataFrame, queries: DataFrame, top_k: int = 5, doc_id: str
     wanted = queries.select("query_id", F.col(vec).alias("vec"))
     first = [(r[0], r[1]) for r in wanted.limit(block + 1).collect()]
     if len(first) <= block:
-        return _scan(docs, first, top_k, doc_id, vec, query_type)
+        # at most block x k rows, so a later join may send them around
+        return _scan(docs, first, top_k, doc_id, vec, query_type).hint("broadcast")
     path = fresh_path(spark, "topk")
     stream = ((r[0], r[1]) for r in wanted.toLocalIterator())
     for part in _blocks(stream, block):
@@ -186,8 +197,8 @@ def query_topk_filtered(docs: DataFrame, queries: DataFrame, condition: Column,
 
 
 def with_documents(hits: DataFrame, docs: DataFrame) -> DataFrame:
-    """Add text and metadata to the hits (k per query, so they are the side to send around)."""
-    return docs.select(F.col("id").alias("doc_id"), "text", "metadata").join(F.broadcast(hits), "doc_id")
+    """Add text and metadata to the hits."""
+    return docs.select(F.col("id").alias("doc_id"), "text", "metadata").join(hits, "doc_id")
 
 
 def batch_questions(docs: DataFrame, encoder: TextEncoder, questions: DataFrame, top_k: int = 3) -> DataFrame:

@@ -1,0 +1,38 @@
+"""Groups with too many rows for one task: finding them, and cutting them into ordered parts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from attriflux.session import checkpointed, fresh_path
+
+HOT_ROWS = 1_000_000    # a group above this many rows is not handled in one task
+PART_ROWS = 500_000     # size of the parts it is cut into
+LEAST_PARTS = 8
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
+    """Values of ``key`` with more than ``hot_rows`` rows, or None if there are none.
+
+    One job over a single column, counted on the map side first. There are
+    at most (rows / hot_rows) such values, so the list is safe to broadcast.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.filter(F.col("n") > hot_rows).select(key)
+    return None if hot.isEmpty() else F.broadcast(checkpointed(hot))
+
+
+def ordered_parts(df: DataFrame, by: list[str], rows: int = PART_ROWS) -> DataFrame:
+    """Cut the rows into ranges of the sort key of about ``rows`` rows each, numbered by ``_part``.
+
+    Spark places the cuts from a sample of the sort key, so a single value of
+    its first column is cut as well. The parts are written to the shared
+    folder: their numbers must be the same for all that read them later,
+    also if an executor is lost.
+    """
+    spark = df.sparkSession
+    parts = max(LEAST_PARTS, -(-df.count() // rows))
+    path = fresh_path(spark, "parts")
+    df.repartitionByRange(parts, *by).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)

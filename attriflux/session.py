@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,3 +52,15 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, so that no run overwrites another's table."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let Spark keep its checkpoints below the shared folder, unless a place is set already."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder, with the lineage cut."""
+    use_checkpoints(df.sparkSession)
+    return df.checkpoint()
