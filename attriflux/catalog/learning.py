@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attriflux.catalog.core import KEY, register
-from attriflux.catalog.inputs import once, r, sales_features, sql
+from attriflux.catalog.inputs import key_fraction_sql, once, r, sales_features, sql
 from attriflux.explain import report as er
 from attriflux.explain import shap as sh
 from attriflux.functions.columns import half_even, rounded
@@ -145,12 +146,28 @@ def select_best_model(spark, folder):
 
 # ---- training ----
 
+TASKS = {"anomaly": (mo.prepare_anomaly, mo.ANOMALY_TRAINERS), "forecast": (mo.prepare_forecast, mo.FORECAST_TRAINERS)}
+
+
+def prepared_rows(spark: SparkSession, folder: str, task: str) -> mo.Prepared:
+    return once(spark, folder, f"prepared-{task}", lambda: TASKS[task][0](_written_features(spark, folder)))
+
+
+def fitted(spark: SparkSession, folder: str, task: str, name: str) -> mo.Trained:
+    return once(spark, folder, f"{task}-{name}", lambda: TASKS[task][1][name](prepared_rows(spark, folder, task)))
+
+
+def _comparison(spark: SparkSession, folder: str, task: str) -> mo.Comparison:
+    return once(spark, folder, task, lambda: mo.compare(
+        prepared_rows(spark, folder, task), {name: fitted(spark, folder, task, name) for name in TASKS[task][1]}))
+
+
 def anomaly_comparison(spark: SparkSession, folder: str) -> mo.Comparison:
-    return once(spark, folder, "anomaly", lambda: mo.compare_anomaly_models(_written_features(spark, folder)))
+    return _comparison(spark, folder, "anomaly")
 
 
 def forecast_comparison(spark: SparkSession, folder: str) -> mo.Comparison:
-    return once(spark, folder, "forecast", lambda: mo.compare_forecast_models(_written_features(spark, folder)))
+    return _comparison(spark, folder, "forecast")
 
 
 def _written_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,19 +181,19 @@ def _written_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def _register_training() -> None:
     queries = {
-        "train_logistic": (anomaly_comparison, "logistic_regression"),
-        "train_random_forest": (anomaly_comparison, "random_forest"),
-        "train_gbt_classifier": (anomaly_comparison, "xgboost"),
-        "train_isolation_forest": (anomaly_comparison, "isolation_forest"),
-        "train_linear": (forecast_comparison, "linear_regression"),
-        "train_gbt_regressor": (forecast_comparison, "xgboost"),
-        "train_leafwise_regressor": (forecast_comparison, "lightgbm"),
+        "train_logistic": ("anomaly", "logistic_regression"),
+        "train_random_forest": ("anomaly", "random_forest"),
+        "train_gbt_classifier": ("anomaly", "xgboost"),
+        "train_isolation_forest": ("anomaly", "isolation_forest"),
+        "train_linear": ("forecast", "linear_regression"),
+        "train_gbt_regressor": ("forecast", "xgboost"),
+        "train_leafwise_regressor": ("forecast", "lightgbm"),
     }
-    for name, (comparison, model) in queries.items():
-        def run(spark, folder, comparison=comparison, model=model):
+    for query, (task, name) in queries.items():
+        def run(spark, folder, task=task, name=name):
             """The model's metrics on the test rows."""
-            return comparison(spark, folder).metrics.filter(F.col("model") == model)
-        register(name)(run)
+            return mo.evaluate_model(fitted(spark, folder, task, name), prepared_rows(spark, folder, task))
+        register(query)(run)
 
 
 _register_training()
@@ -194,6 +211,53 @@ def train_linear_one_feature(spark, folder):
     return rounded(out, 4)
 
 
+@register("train_linear_optimum", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', 0::DOUBLE)" for c in ["intercept", *FORECAST_FEATURES]) + ") AS v(feature, slope)")
+def train_linear_optimum(spark, folder):
+    """Slope of the squared error at the fitted coefficients over all training rows: nothing is left to gain."""
+    trained = fitted(spark, folder, "forecast", "linear_regression")
+    return _slopes(trained, pr.split_random(_written_features(spark, folder)), F.col("prediction") - F.col("roas"), {})
+
+
+@register("train_logistic_optimum", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', 0::DOUBLE)" for c in ["intercept", *ANOMALY_FEATURES]) + ") AS v(feature, slope)")
+def train_logistic_optimum(spark, folder):
+    """Slope of the penalised log loss at the fitted coefficients over all training rows."""
+    trained = fitted(spark, folder, "anomaly", "logistic_regression")
+    rows = pr.split_stratified(_written_features(spark, folder), "is_anomaly")
+    n = pr.train_part(rows).count()
+    penalty = {c: float(w) / n for c, w in zip(ANOMALY_FEATURES, trained.model.coefficients)}
+    return _slopes(trained, rows, vector_to_array("probability")[1] - F.col("is_anomaly"), penalty)
+
+
+def _slopes(trained: mo.Trained, rows: DataFrame, error: F.Column, penalty: dict[str, float]) -> DataFrame:
+    names = list(trained.scaler.features)
+    train = pr.clean_features(pr.train_part(rows), names)
+    scored = trained.model.transform(trained.scaler.assemble(train)).withColumn("error", error)
+    scaled = trained.scaler.transform(scored)
+    means = scaled.agg(F.avg("error").alias("intercept"), *[
+        (F.avg(F.col("error") * F.col(c)) + F.lit(penalty.get(c, 0.0))).alias(c) for c in names])
+    return means.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), (half_even(c, 3) + F.lit(0.0)).alias("slope"))
+        for c in ["intercept", *names]])))
+
+
+@register("isolation_forest_share", sql("SELECT round_even(0.3 * 100, 0) / 100 AS flagged_share, count(*) AS n_rows FROM stratified WHERE split = 'train'", "stratified"))
+def isolation_forest_share(spark, folder):
+    """Share of the training rows above the threshold."""
+    rows = pr.train_part(pr.split_stratified(_written_features(spark, folder), "is_anomaly"))
+    scored = fitted(spark, folder, "anomaly", "isolation_forest").transform(rows)
+    return scored.agg(half_even(F.avg("prediction"), 2).alias("flagged_share"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("predict_anomaly_skipped", sql("""SELECT count(*) FILTER (WHERE roas IS NULL OR roas_wow IS NULL OR roas_rolling3 IS NULL) AS skipped,
+  count(*) FILTER (WHERE roas IS NOT NULL AND roas_wow IS NOT NULL AND roas_rolling3 IS NOT NULL) AS predicted FROM allfeatures""", "allfeatures"))
+def predict_anomaly_skipped(spark, folder):
+    labels = predict_anomaly(spark, folder)
+    return labels.agg(F.count(F.when(F.col("label") == "skipped", 1)).alias("skipped"),
+                      F.count(F.when(F.col("label").isin("ANOMALY", "NORMAL"), 1)).alias("predicted"))
+
+
 @register("run_anomaly_detection")
 def run_anomaly_detection(spark, folder):
     result = anomaly_comparison(spark, folder)
@@ -219,7 +283,7 @@ def save_model(spark, folder):
 def load_model(spark, folder):
     """Save and load the isolation forest; scores of all rows by the loaded copy."""
     path = fresh_path(spark, "model")
-    anomaly_comparison(spark, folder).models["isolation_forest"].save(spark, path)
+    fitted(spark, folder, "anomaly", "isolation_forest").save(spark, path)
     return mo.load_model(spark, path).transform(_written_features(spark, folder)).select(*KEY, "score", "prediction")
 
 
@@ -236,12 +300,29 @@ def predict_anomaly(spark, folder):
     return mo.predict_anomaly(anomaly_comparison(spark, folder).best, requests)
 
 
-@register("log_experiment_run")
+_runs_sql = "SELECT * FROM (VALUES " + ", ".join(
+    "('{}', '{}', '{}', '{}', '{}')".format(
+        experiment, name, kind, ",".join(sorted(f"{k}={v}" for k, v in params.items())),
+        ",".join(sorted(mo.CLASS_METRICS if experiment == ex.ANOMALY_EXPERIMENT else mo.REGRESSION_METRICS)))
+    for (experiment, _), (name, kind, params) in ex.RUNS.items()) + ") AS v(experiment, run_name, model_type, params, metrics)"
+
+
+@register("log_experiment_run", _runs_sql)
 def log_experiment_run(spark, folder):
+    """All runs of both experiments, logged and read back; shown are the names of their metrics."""
     path = fresh_path(spark, "runs")
     ex.log_comparisons(anomaly_comparison(spark, folder), forecast_comparison(spark, folder), path)
+    pairs = F.transform(F.map_entries("params"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return ex.read_runs(spark, path).select(
-        "experiment", "run_name", "model_type", F.to_json("params").alias("params"), F.to_json("metrics").alias("metrics"))
+        "experiment", "run_name", "model_type", F.array_join(F.array_sort(pairs), ",").alias("params"),
+        F.array_join(F.array_sort(F.map_keys("metrics")), ",").alias("metrics"))
+
+
+@register("experiment_metrics")
+def experiment_metrics(spark, folder):
+    path = fresh_path(spark, "runs")
+    ex.log_comparisons(anomaly_comparison(spark, folder), forecast_comparison(spark, folder), path)
+    return ex.read_runs(spark, path).select("experiment", "run_name", F.explode("metrics").alias("metric", "value"))
 
 
 # ---- explanation: a linear score with given weights stands in for a model, so that SQL can follow ----
@@ -333,30 +414,65 @@ def load_shap(spark, folder):
 
 @register("shap_tree")
 def shap_tree(spark, folder):
-    model = forecast_comparison(spark, folder).models["lightgbm"]
+    model = fitted(spark, folder, "forecast", "lightgbm")
     return rounded(sh.explain(model, _written_features(spark, folder)).select(
         *KEY, *[F.col("shap_values")[i].alias(c) for i, c in enumerate(FORECAST_FEATURES)]))
 
 
+@register("shap_tree_adds_up", sql(f"SELECT {', '.join(KEY)}, 0::DOUBLE AS difference FROM features", "features"))
+def shap_tree_adds_up(spark, folder):
+    """Per row: SHAP values plus the mean output, less the model's own output."""
+    trained = fitted(spark, folder, "forecast", "lightgbm")
+    base = sh.expected_value(sh.leaf_rules(sh.read_trees(spark, trained.model)))
+    explained = sh.explain(trained, _written_features(spark, folder)).withColumn(
+        "features", array_to_vector(F.array(*trained.scaler.features)))
+    total = F.aggregate("shap_values", F.lit(base), lambda a, b: a + b)
+    out = trained.model.transform(explained).select(*KEY, half_even(total - F.col("prediction"), 6).alias("difference"))
+    return _no_negative_zero(out, ["difference"])
+
+
 def clipped_score(x: np.ndarray) -> np.ndarray:
     """A model with no closed-form explanation: a bounded score of two interacting features."""
     return np.clip(x[:, 0] * x[:, 3] * 10.0, -1.0, 1.0) + np.maximum(x[:, 4], x[:, 5])
 
 
-@register("shap_kernel")
+_g = lambda a, b: f"greatest(-1::DOUBLE, least(1::DOUBLE, {a}.ctr * {b}.conversion_rate * 10::DOUBLE))"
+_h = lambda a, b: f"greatest({a}.ctr_wow, {b}.spend_wow)"
+
+
+def _pair(f, first: str, second: str) -> str:
+    """Shapley values of a function of two features; the mean is over the background rows."""
+    alone, other = f"avg({f('x', 'b')})", f"avg({f('b', 'x')})"
+    both, none = f"avg({f('x', 'x')})", f"avg({f('b', 'b')})"
+    return (f"{r(f'0.5::DOUBLE * ({alone} - {none} + {both} - {other})')} AS {first}, "
+            f"{r(f'0.5::DOUBLE * ({other} - {none} + {both} - {alone})')} AS {second}")
+
+
+_kernel_sql = sql(f"""SELECT x.source, x.campaign_name, x.c_date, {_pair(_g, 'ctr', 'conversion_rate')}, {_pair(_h, 'ctr_wow', 'spend_wow')},
+  0::DOUBLE AS cpc, 0::DOUBLE AS cpl, 0::DOUBLE AS ctr_rolling3
+FROM cleaned x, (SELECT * FROM cleaned ORDER BY {key_fraction_sql("'background'", *KEY)} LIMIT {sh.BACKGROUND_ROWS}) b
+GROUP BY 1, 2, 3""", "cleaned")
+
+
+@register("shap_kernel", _kernel_sql)
 def shap_kernel(spark, folder):
     rows = pr.clean_features(sales_features(spark, folder), FORECAST_FEATURES)
-    return rounded(sh.shap_kernel(rows, FORECAST_FEATURES, clipped_score).select(
-        *KEY, *[F.col("shap_values")[i].alias(c) for i, c in enumerate(FORECAST_FEATURES)]))
+    out = sh.shap_kernel(rows, FORECAST_FEATURES, clipped_score).select(
+        *KEY, *[F.col("shap_values")[i].alias(c) for i, c in enumerate(FORECAST_FEATURES)])
+    return _no_negative_zero(rounded(out), FORECAST_FEATURES)
+
+
+def _no_negative_zero(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumns({c: F.col(c) + F.lit(0.0) for c in names})
 
 
 @register("explain_dispatch")
 def explain_dispatch(spark, folder):
     """Importances of models of three kinds, each explained by the method that suits it."""
     rows = _written_features(spark, folder)
-    models = [anomaly_comparison(spark, folder).models["logistic_regression"],
-              anomaly_comparison(spark, folder).models["xgboost"],
-              forecast_comparison(spark, folder).models["linear_regression"]]
+    models = [fitted(spark, folder, "anomaly", "logistic_regression"),
+              fitted(spark, folder, "anomaly", "xgboost"),
+              fitted(spark, folder, "forecast", "linear_regression")]
     out = None
     for model in models:
         part = er.feature_importance(sh.explain(model, rows), list(model.scaler.features)).select(

@@ -189,29 +189,37 @@ class Comparison:
     best: Trained
 
 
-def _compare(prepared: Prepared, trainers: dict, names: list[str], metric: str, highest: bool) -> Comparison:
-    spark = prepared.rows.sparkSession
+def compare(prepared: Prepared, models: dict[str, Trained]) -> Comparison:
+    """Metrics of the models on the test rows, and the best: highest f1, or lowest mean absolute error.
+
+    Of equals the first wins. Metrics are a few numbers per model, kept as a
+    small local table, so that the models are scored once.
+    """
+    anomaly = prepared.target == "is_anomaly"
+    names = CLASS_METRICS if anomaly else REGRESSION_METRICS
+    rows = [evaluate_model(m, prepared).first().asDict() for m in models.values()]
+    wide = prepared.rows.sparkSession.createDataFrame(rows, "model string, " + ", ".join(f"{n} double" for n in names))
+    metrics = long_metrics(wide, names)
+    best = select_best_model(metrics, "f1" if anomaly else "mae", anomaly, list(models)).first()["model"]
+    return Comparison(models, metrics, models[best])
+
+
+def _train_and_compare(prepared: Prepared, trainers: dict) -> Comparison:
     prepared.rows.persist()
     try:
-        models = {name: train(prepared) for name, train in trainers.items()}
-        # a few numbers per model: kept as a small local table, so the models are scored once
-        rows = [evaluate_model(m, prepared).first().asDict() for m in models.values()]
+        return compare(prepared, {name: train(prepared) for name, train in trainers.items()})
     finally:
         prepared.rows.unpersist()
-    wide = spark.createDataFrame(rows, "model string, " + ", ".join(f"{n} double" for n in names))
-    metrics = long_metrics(wide, names)
-    best = select_best_model(metrics, metric, highest, list(trainers)).first()["model"]
-    return Comparison(models, metrics, models[best])
 
 
 def compare_anomaly_models(df: DataFrame) -> Comparison:
-    """Train all four models; the best has the highest f1."""
-    return _compare(prepare_anomaly(df), ANOMALY_TRAINERS, CLASS_METRICS, "f1", True)
+    """Train and compare all four anomaly models."""
+    return _train_and_compare(prepare_anomaly(df), ANOMALY_TRAINERS)
 
 
 def compare_forecast_models(df: DataFrame) -> Comparison:
-    """Train all three models; the best has the lowest mean absolute error."""
-    return _compare(prepare_forecast(df), FORECAST_TRAINERS, REGRESSION_METRICS, "mae", False)
+    """Train and compare all three ROAS models."""
+    return _train_and_compare(prepare_forecast(df), FORECAST_TRAINERS)
 
 
 def predict_roas(trained: Trained, requests: DataFrame) -> DataFrame:
