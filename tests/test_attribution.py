@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from attriflux.operators import attribution as at
 from attriflux.operators import journeys as jo
+from attriflux.operators import skew
 from attriflux.operators import tracking as tr
 from attriflux.plans.runs import attribution_report
 from attriflux.schemas import ATTRIBUTION_MODELS
@@ -49,6 +50,13 @@ def test_hot_users_give_the_same_journeys(touches, limit):
     assert usual.exceptAll(hot).count() == 0 and hot.exceptAll(usual).count() == 0
 
 
+def test_parts_of_few_touches(spark, touches, monkeypatch):
+    monkeypatch.setattr(skew, "LEAST_PARTS", 120)
+    one = touches.withColumn("user_id", F.col("user_id") % 2).filter("event_id < 300")
+    usual, hot = jo.build_journeys(one), jo.build_journeys(one, hot_rows=5)
+    assert usual.exceptAll(hot).count() == 0 and usual.count() == hot.count()
+
+
 def test_one_user_with_all_touches(spark, touches):
     """One user holds everything, with several touches per minute."""
     one = touches.withColumns({"user_id": F.lit(1).cast("bigint"), "ts": F.date_trunc("hour", "ts")})

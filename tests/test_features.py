@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from attriflux.operators import features as fe
 from attriflux.operators import reports as rep
+from attriflux.operators import skew
 from attriflux.schemas import DERIVED_COLUMNS
 from attriflux.sources.derived import facts_from_sales, table
 from attriflux.sources.facts import load_features, save_table
@@ -57,6 +58,16 @@ def test_hot_campaign_with_many_rows_per_day(spark):
     assert usual.exceptAll(split).count() == 0 and split.count() == usual.count()
 
 
+@pytest.mark.parametrize("parts", [2, 40, 150])
+def test_parts_of_any_size(spark, folder, monkeypatch, parts):
+    """Parts with one or two rows: the rows before a part's head lie several parts back."""
+    monkeypatch.setattr(skew, "LEAST_PARTS", parts)
+    rows = facts_from_sales(*[table(spark, folder, n) for n in ("lineitem", "supplier", "nation", "region")])
+    one = rows.filter("campaign_name < 'Supplier#000000002'")
+    usual, split = fe.engineer_features(one, hot_rows=None), fe.engineer_features(one, hot_rows=10)
+    assert usual.count() == split.count() and usual.exceptAll(split).count() == 0
+
+
 def test_independent_of_partitions(spark, folder):
     facts = facts_from_sales(*[table(spark, folder, n) for n in ("lineitem", "supplier", "nation", "region")])
     a = fe.engineer_features(facts.repartition(1))
