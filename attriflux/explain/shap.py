@@ -174,7 +174,11 @@ def background_sample(df: DataFrame, features: list[str], rows: int = BACKGROUND
 
 def shap_kernel(df: DataFrame, features: list[str], predict: Callable[[np.ndarray], np.ndarray],
                 background: np.ndarray | None = None, out: str = "shap_values") -> DataFrame:
-    """SHAP values of any vectorised prediction function, against a background of at most 50 rows."""
+    """SHAP values of any vectorised prediction function, against a background of at most 50 rows.
+
+    A row costs 2^features x background predictions, so this is for models
+    that neither ``shap_linear`` nor ``shap_tree`` can explain.
+    """
     background = background_sample(df, features) if background is None else background
     sent = df.sparkSession.sparkContext.broadcast(background)
 

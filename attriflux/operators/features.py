@@ -59,7 +59,7 @@ def _previous_and_rolling(df: DataFrame, *keys: str) -> DataFrame:
     })
 
 
-def _split_windows(df: DataFrame) -> DataFrame:
+def _split_windows(df: DataFrame, rows: int) -> DataFrame:
     """Same columns as ``_previous_and_rolling`` for campaigns that are too large for one task.
 
     The rows are cut into ordered parts. Values need only the row's own part,
@@ -68,7 +68,7 @@ def _split_windows(df: DataFrame) -> DataFrame:
     before them are always present.
     """
     keys = ["campaign_name", "_part"]
-    parts = ordered_parts(df, ["campaign_name", *order_columns(df)])
+    parts = ordered_parts(df, ["campaign_name", *order_columns(df)], rows)
     w = Window.partitionBy(*keys).orderBy(*order_columns(df))
     reach = ROLLING_ROWS - 1
     marked = _previous_and_rolling(parts, *keys).withColumns({
@@ -91,8 +91,8 @@ def add_windows(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     hot = None if hot_rows is None else hot_keys(df, "campaign_name", hot_rows)
     if hot is None:
         return _previous_and_rolling(df, "campaign_name")
-    usual = _previous_and_rolling(df.join(hot, "campaign_name", "left_anti"), "campaign_name")
-    return usual.unionByName(_split_windows(df.join(hot, "campaign_name", "left_semi")))
+    usual = _previous_and_rolling(hot.others(df, "campaign_name"), "campaign_name")
+    return usual.unionByName(_split_windows(hot.of(df, "campaign_name"), hot.rows))
 
 
 def add_changes(df: DataFrame) -> DataFrame:

@@ -92,18 +92,19 @@ def build_journeys(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     Users are numbered with one exchange and one sort. Users above
     ``hot_rows`` are looked for first; theirs are cut into ordered parts,
     numbered inside each part and shifted by what lies before it, so that no
-    user has to fit in a task.
+    user has to fit in a task. Touches without a user belong to no journey.
     """
+    touches = touches.filter(F.col("user_id").isNotNull())
     columns = [c for c in touches.columns if c not in ("is_conversion", "value")]
     hot = hot_keys(touches, "user_id", hot_rows)
-    usual = touches if hot is None else touches.join(hot, "user_id", "left_anti")
+    usual = touches if hot is None else hot.others(touches, "user_id")
     none = F.lit(None).cast("bigint")
     out = _paths(_positions(usual, "user_id").withColumns({
         "_offset": F.lit(0).cast("bigint"), "_conv_offset": F.lit(0).cast("bigint"), "_carried": none, "_coming": none,
         "_user_rows": F.count(F.lit(1)).over(Window.partitionBy("user_id"))}), columns)
     if hot is None:
         return out
-    parts = ordered_parts(touches.join(hot, "user_id", "left_semi"), ["user_id", "ts", "event_id"])
+    parts = ordered_parts(hot.of(touches, "user_id"), ["user_id", "ts", "event_id"], hot.rows)
     positions = _positions(parts, "user_id", "_part")
     return out.unionByName(_paths(positions.join(_part_offsets(positions), ["user_id", "_part"]), columns))
 

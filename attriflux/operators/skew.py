@@ -2,29 +2,46 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attriflux.session import checkpointed, fresh_path
 
-HOT_ROWS = 1_000_000    # a group above this many rows is not handled in one task
-PART_ROWS = 500_000     # size of the parts it is cut into
+HOT_ROWS = 2_000_000    # a group above this many rows is not handled in one task
+PART_ROWS = 2_000_000   # size of the parts it is cut into
 LEAST_PARTS = 8
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
+@dataclass(frozen=True)
+class HotKeys:
+    """Values of a key with too many rows, and how many rows they have together."""
+
+    keys: DataFrame
+    rows: int
+
+    def of(self, df: DataFrame, key: str) -> DataFrame:
+        return df.join(F.broadcast(self.keys), key, "left_semi")
+
+    def others(self, df: DataFrame, key: str) -> DataFrame:
+        return df.join(F.broadcast(self.keys), key, "left_anti")
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int) -> HotKeys | None:
     """Values of ``key`` with more than ``hot_rows`` rows, or None if there are none.
 
     One job over a single column, counted on the map side first. There are
     at most (rows / hot_rows) such values, so the list is safe to broadcast.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.filter(F.col("n") > hot_rows).select(key)
-    return None if hot.isEmpty() else F.broadcast(checkpointed(hot))
+    hot = checkpointed(counts.filter(F.col("n") > hot_rows))
+    rows = hot.agg(F.sum("n")).first()[0]
+    return HotKeys(hot.select(key), rows) if rows else None
 
 
-def ordered_parts(df: DataFrame, by: list[str], rows: int = PART_ROWS) -> DataFrame:
-    """Cut the rows into ranges of the sort key of about ``rows`` rows each, numbered by ``_part``.
+def ordered_parts(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """Cut ``df`` with about ``rows`` rows into ranges of its sort key, numbered by ``_part``.
 
     Spark places the cuts from a sample of the sort key, so a single value of
     its first column is cut as well. The parts are written to the shared
@@ -32,7 +49,7 @@ def ordered_parts(df: DataFrame, by: list[str], rows: int = PART_ROWS) -> DataFr
     also if an executor is lost.
     """
     spark = df.sparkSession
-    parts = max(LEAST_PARTS, -(-df.count() // rows))
+    parts = max(LEAST_PARTS, -(-rows // PART_ROWS))
     path = fresh_path(spark, "parts")
     df.repartitionByRange(parts, *by).withColumn("_part", F.spark_partition_id()).write.parquet(path)
     return spark.read.parquet(path)

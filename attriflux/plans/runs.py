@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,13 @@ from attriflux.sources.facts import combine_sources, load_campaigns, save_table,
 
 def run_collection(frames: Mapping[str, DataFrame], path: str, start: str | None = None,
                    end: str | None = None) -> tuple[DataFrame | None, list[dict[str, str]]]:
-    """Combine all sources, save them, and return the per-source summary and the errors."""
-    combined, errors = combine_sources(frames, start, end)
+    """Combine all sources, save them, and return the per-source summary and the errors.
+
+    Without dates, the last 30 days up to today are collected.
+    """
+    today = dt.date.today()
+    combined, errors = combine_sources(
+        frames, start or str(today - dt.timedelta(days=30)), end or str(today))
     if combined is None:
         return None, errors
     save_table(combined, path)

@@ -24,6 +24,8 @@ def local_session(cpus: int | str = 8, app: str = "attriflux", **extra: str) ->
         **SETTINGS,
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "12g",
+        # small shuffles of small data still use all local threads
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         **extra,
     }
     for key, value in settings.items():

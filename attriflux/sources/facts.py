@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attriflux.functions.columns import ratio
 from attriflux.schemas import FACT_TYPES, NUMERIC_COLUMNS, UNIFIED_COLUMNS
@@ -15,10 +16,7 @@ from attriflux.schemas import FACT_TYPES, NUMERIC_COLUMNS, UNIFIED_COLUMNS
 def standardise_columns(df: DataFrame) -> DataFrame:
     """Lower-case and strip headers, cast the known columns, fill in source and category."""
     df = df.toDF(*[c.lower().strip() for c in df.columns])
-    df = df.select([
-        (F.to_date(F.col(c)) if c == "c_date" else F.col(c).cast(FACT_TYPES[c])).alias(c)
-        if c in FACT_TYPES else F.col(c)
-        for c in df.columns])
+    df = df.select([_typed(c).alias(c) if c in FACT_TYPES else F.col(c) for c in df.columns])
     if "source" not in df.columns:
         df = df.withColumn("source", F.lit("csv_import"))
     if "category" not in df.columns:
@@ -26,6 +24,14 @@ def standardise_columns(df: DataFrame) -> DataFrame:
     return df
 
 
+def _typed(name: str) -> Column:
+    """A known column in its declared type, NaN as null."""
+    if name == "c_date":
+        return F.to_date(F.col(name))
+    value = F.col(name).cast(FACT_TYPES[name])
+    return F.when(~F.isnan(value), value) if FACT_TYPES[name] == T.DoubleType() else value
+
+
 def load_campaigns(spark: SparkSession, original: str, combined: str | None = None,
                    source: str = "auto", fmt: str = "csv") -> DataFrame:
     """Read raw facts: the combined table if asked for or (auto) if it is there, else the original.
@@ -80,17 +86,17 @@ def validate_unified(df: DataFrame, source_name: str) -> DataFrame:
     if missing:
         raise ValueError(
             f"Connector '{source_name}' is missing columns: {missing}. Required: {UNIFIED_COLUMNS}")
+
     def column(name):
         if name == "source":
             return F.lit(source_name)
         if name == "c_date":
             return F.to_date(F.col(name))
-        col = F.col(name)
         if name in NUMERIC_COLUMNS:
-            col = col.cast("double")
-            col = F.when(F.isnan(col), None).otherwise(col)
-            col = F.coalesce(col, F.lit(0.0)).cast(FACT_TYPES[name])
-        return col
+            number = F.col(name).cast("double")
+            return F.coalesce(F.when(~F.isnan(number), number), F.lit(0.0)).cast(FACT_TYPES[name])
+        return F.col(name)
+
     return df.select([column(c).alias(c) for c in UNIFIED_COLUMNS])
 
 
@@ -98,7 +104,7 @@ def combine_sources(frames: Mapping[str, DataFrame | Callable[[], DataFrame]], s
                     end: str | None = None) -> tuple[DataFrame | None, list[dict[str, str]]]:
     """Validate every source, stack the valid ones in (source, campaign, date) order.
 
-    A source that fails to load or to validate is left out and reported in
+    With a start or an end only the facts of that range are kept. A source that fails to load or to validate is left out and reported in
     the second result. Only schemas are looked at here; no data is read.
     """
     stacked, errors = None, []

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from attriflux.plans.runs import run_collection, run_features
 from attriflux.schemas import UNIFIED_COLUMNS
 from attriflux.sources import facts as fs
 from attriflux.sources import platforms as pf
@@ -114,3 +115,15 @@ def test_ga4_reads_positions(spark):
     row = pf.normalise_ga4(raw).first()
     assert row.campaign_name == "ga4_spring_sale_google_/_cpc" and row.c_date == dt.date(2024, 1, 6)
     assert (row.impressions, row.clicks, row.leads, row.orders, row.mark_spent, row.revenue) == (400, 40, 3, 2, 0.0, 99.5)
+
+
+def test_collection_takes_the_last_30_days_by_default(spark, tmp_path, raw_facts):
+    recent = raw_facts.withColumn("c_date", F.date_sub(F.current_date(), F.dayofmonth("c_date") * 4))
+    summary, errors = run_collection({"a": recent, "x": raw_facts.drop("leads")}, str(tmp_path / "c"))
+    assert [r.n_rows for r in summary.collect()] == [2] and [e["connector"] for e in errors] == ["x"]
+    assert run_collection({"x": raw_facts.drop("leads")}, str(tmp_path / "d"))[0] is None
+
+
+def test_feature_run(spark, tmp_path, raw_facts):
+    raw_facts.write.option("header", True).csv(str(tmp_path / "raw"))
+    assert run_features(spark, str(tmp_path / "raw"), str(tmp_path / "features")).count() == 4
