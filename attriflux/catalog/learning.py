@@ -270,21 +270,32 @@ def run_forecaster(spark, folder):
     return leaderboard(result.metrics, "mae", False, mo.FORECAST_MODELS)
 
 
-@register("save_model")
+_copies_agree = sql(f"SELECT {', '.join(KEY)}, true AS agrees FROM features", "features")
+
+
+def _agreement(spark: SparkSession, folder: str, trained: mo.Trained, copy: mo.Trained, shown: str) -> DataFrame:
+    """Every row scored by the model and by its loaded copy."""
+    rows = _written_features(spark, folder)
+    scored = trained.transform(rows).select(*rows.columns, F.col(shown).alias("first"))
+    return copy.transform(scored).select(*KEY, F.col("first").eqNullSafe(F.col(shown)).alias("agrees"))
+
+
+@register("save_model", _copies_agree)
 def save_model(spark, folder):
-    """Save the best anomaly model with its metrics, load it and score all rows with the copy."""
+    """The best anomaly model, saved with its metrics and loaded again."""
     result = anomaly_comparison(spark, folder)
     path = fresh_path(spark, "model")
     result.best.save(spark, path, result.metrics)
-    return mo.load_model(spark, path).transform(_written_features(spark, folder)).select(*KEY, "is_anomaly", "prediction")
+    return _agreement(spark, folder, result.best, mo.load_model(spark, path), "prediction")
 
 
-@register("load_model")
+@register("load_model", _copies_agree)
 def load_model(spark, folder):
-    """Save and load the isolation forest; scores of all rows by the loaded copy."""
+    """The isolation forest, which has its own file format, saved and loaded: compared by score."""
     path = fresh_path(spark, "model")
-    fitted(spark, folder, "anomaly", "isolation_forest").save(spark, path)
-    return mo.load_model(spark, path).transform(_written_features(spark, folder)).select(*KEY, "score", "prediction")
+    trained = fitted(spark, folder, "anomaly", "isolation_forest")
+    trained.save(spark, path)
+    return _agreement(spark, folder, trained, mo.load_model(spark, path), "score")
 
 
 @register("predict_roas")
