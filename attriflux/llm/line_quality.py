@@ -200,9 +200,10 @@ def fit_crf(chains: list[np.ndarray], labels: list[int], rounds: int = 200, pena
     total = balance.sum()
     line = climb(np.zeros(len(FEATURES)), lambda w: np.einsum("dl,dlk->k", balance * (good - sigmoid(x @ w)), x) / total)
     y = np.where(good == 1, 1, (x @ line >= 0)).astype(int)
-    pair = real[:, 1:]
-    seen = np.array([[(pair & (y[:, :-1] == a) & (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
-    count = real.sum()
+    chain = balance.max(axis=1)                 # documents of both labels weigh the same in all
+    pair = real[:, 1:] * chain[:, None]
+    seen = np.array([[(pair * (y[:, :-1] == a) * (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
+    count = (real * chain[:, None]).sum()
 
     def gradient(theta: np.ndarray) -> np.ndarray:
         w, moves = theta[:-4], theta[-4:].reshape(2, 2)
@@ -219,7 +220,7 @@ def fit_crf(chains: list[np.ndarray], labels: list[int], rounds: int = 200, pena
         p = np.exp(ahead[..., 1] + behind[..., 1] - log_z[:, None])
         both = (ahead[:, :-1, :, None] + moves + (emit + behind)[:, 1:, None, :] - log_z[:, None, None, None])
         expected = (np.exp(np.minimum(both, 0)) * pair[..., None, None]).sum((0, 1))
-        return np.concatenate([np.einsum("dl,dlk->k", (y - p) * real, x), (seen - expected).ravel()]) / count
+        return np.concatenate([np.einsum("dl,dlk->k", (y - p) * real * chain[:, None], x), (seen - expected).ravel()]) / count
 
     theta = climb(np.concatenate([line, np.zeros(4)]), gradient)
     return LineModel(tuple(theta[:-4]), tuple(map(tuple, theta[-4:].reshape(2, 2))))

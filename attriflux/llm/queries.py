@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attriflux.llm import line_quality, mixing, packing, pii, simhash
+from attriflux.llm import compression_quality, license_scan, line_quality, mixing, packing, pii, sharding, simhash
 from attriflux.llm.shared import read
 
 QUERIES: dict = {}
@@ -26,6 +26,16 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents"))
 
 
+@register("op2_license_scan", license_scan.scan_sql())
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(read(spark, folder, "documents"))
+
+
+@register("op3_vector_sharding")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(read(spark, folder, "documents"))
+
+
 @register("op4_quality_rules")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
@@ -39,6 +49,13 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register("op8_compression_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = compression_quality.train_compression_model(docs, read(spark, folder, "labels"))
+    return compression_quality.score_quality(docs, model)
+
+
 @register("op9_personal_data")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_personal_data(read(spark, folder, "documents"))
