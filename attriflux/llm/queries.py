@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attriflux.llm import compression_quality, license_scan, line_quality, mixing, packing, pii, sharding, simhash
+from attriflux.llm import bit_sliced, compression_quality, license_scan, line_quality, mixing, packing, pii, sharding, simhash
 from attriflux.llm.shared import read
 
 QUERIES: dict = {}
@@ -49,6 +49,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register("op6_bit_sliced_search", bit_sliced.search_sql())
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return bit_sliced.top_products(read(spark, folder, "embeddings"))
+
+
 @register("op8_compression_quality")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
