@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attriflux.llm import bit_sliced, compression_quality, license_scan, line_quality, mixing, packing, pii, sharding, simhash
+from attriflux.llm import bit_sliced, compression_quality, license_scan, line_quality, mixing, packing, pii, repeats, sharding, simhash
 from attriflux.llm.shared import read
 
 QUERIES: dict = {}
@@ -54,6 +54,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return bit_sliced.top_products(read(spark, folder, "embeddings"))
 
 
+@register("op7_repeat_removal")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, folder, "documents")).drop("spans")
+
+
 @register("op8_compression_quality")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
