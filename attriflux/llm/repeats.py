@@ -163,7 +163,8 @@ def _sort_out(rows: DataFrame) -> DataFrame:
     """Rows whose core occurs twice, and whether what they cover differs between them (``mixed``)."""
     twice = rows.groupBy("core").agg(F.count(F.lit(1)).alias("_n"), F.min("whole").alias("_a"), F.max("whole").alias("_b"))
     twice = twice.filter("_n >= 2").select("core", (F.col("_a") != F.col("_b")).alias("mixed"))
-    return rows.join(twice, "core")
+    # written, so that the join reads two exchanges and Spark can split a core that repeats very often
+    return rows.join(stored(twice, "repeated-cores"), "core")
 
 
 def repeated_starts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
