@@ -21,6 +21,12 @@ MOST_BITS = 3               # fingerprints with at most so many differing bits a
 RUN = 256                   # members of a signature that are compared with each other; larger ones are refined
 
 
+WIDE = 256                  # bits of the fingerprints that tell similar documents
+MOST_WIDE_BITS = 40         # of them that may differ: a similarity of 0.8 gives 39 on average
+SEGMENTS = 12               # segments of a wide fingerprint, one of which has to differ by at most one bit
+SEGMENT_BITS = 24
+
+
 def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
     """Majority bits of the hashes of all shingles, as a signed 64-bit number. No words: 0."""
     if not words:
@@ -226,17 +232,147 @@ def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+# ---- similar documents: wider fingerprints, of which some segments differ by one bit at most ----
+
+def wide_fingerprint(words: list[bytes], shingle: int = PIPELINE_SHINGLE) -> np.ndarray:
+    """``WIDE`` majority bits of the hashes of all shingles. No words: no bits."""
+    total, count = np.zeros(WIDE, np.int64), 0
+    if words:
+        grams = [b" ".join(words)] if len(words) < shingle else [
+            b" ".join(s) for s in zip(*(words[i:] for i in range(shingle)))]
+        count, digest = len(grams), xxhash.xxh3_128_digest
+        for at in range(0, count, 4096):
+            part = grams[at:at + 4096]
+            for seed in range(WIDE // 128):
+                bits = np.frombuffer(b"".join([digest(g, seed + 1) for g in part]), np.uint8).reshape(-1, 16)
+                total[128 * seed:128 * seed + 128] += np.unpackbits(bits, axis=1).sum(0, dtype=np.int64)
+    return (2 * total > count).astype(np.uint8)
+
+
+def _segment_bits() -> np.ndarray:
+    """Which bits each segment takes: permutations of all bits, one after the other, cut into segments."""
+    draws = np.random.Generator(np.random.PCG64(3))
+    rounds = -(-SEGMENTS // (WIDE // SEGMENT_BITS))
+    return np.concatenate([
+        draws.permutation(WIDE)[:WIDE // SEGMENT_BITS * SEGMENT_BITS].reshape(-1, SEGMENT_BITS) for _ in range(rounds)])[:SEGMENTS]
+
+
+def wide_fingerprints(docs: DataFrame, shingle: int, id_column: str, text: str, keys: dict[str, Column]) -> DataFrame:
+    """doc_id, the row's keys, fingerprint (binary) and segments of every text, A-Z lower-cased."""
+    kept = docs.select(F.col(id_column).alias("doc_id"), *[c.alias(n) for n, c in keys.items()], text_column(text).alias("text"))
+    names = kept.columns[:-1]
+    schema = kept.drop("text").withColumns({
+        "fp": F.lit(b""), "segments": F.array().cast("array<int>")}).schema
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, powers = _segment_bits(), 1 << np.arange(SEGMENT_BITS)
+        for batch in batches:
+            found, segments = [], []
+            for value in batch.column("text").cast(pa.large_binary()):
+                bits = wide_fingerprint(value.as_py().lower().split(), shingle)
+                found.append(np.packbits(bits).tobytes())
+                segments.append((bits[places] @ powers).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in names), pa.array(found, pa.binary()), pa.array(segments, pa.list_(pa.int32()))],
+                [*names, "fp", "segments"])
+
+    return kept.mapInArrow(hashed, schema)
+
+
+def _reached(fps: np.ndarray) -> tuple[list[int], list[int]]:
+    """A forest of links among fingerprints (rows of words): each is compared with those not reached yet only."""
+    child, parent = [], []
+    open_rows = np.arange(len(fps))
+    while len(open_rows):
+        queue, open_rows = [int(open_rows[0])], open_rows[1:]
+        while queue and len(open_rows):
+            at = queue.pop()
+            near = np.bitwise_count(fps[open_rows] ^ fps[at]).sum(axis=1) <= MOST_WIDE_BITS
+            reached = open_rows[near].tolist()
+            child += reached
+            parent += [at] * len(reached)
+            queue += reached
+            open_rows = open_rows[~near]
+    return child, parent
+
+
+def similar_links(fps: DataFrame) -> DataFrame:
+    """(a, b): links between nodes whose fingerprints share a signature and differ by ``MOST_WIDE_BITS`` bits at most.
+
+    Every segment has a signature for each of its bits blanked. The first deal
+    by signature carries node numbers only and keeps signatures of two nodes or
+    more; those are dealt again with the fingerprints. In a signature's run each
+    member is compared with members not reached yet, so a run of near copies
+    takes about one comparison each, and no member is left out.
+    """
+    count = SEGMENTS * SEGMENT_BITS
+    each = F.expr(f"transform(sequence(0, {count - 1}), i -> (cast(i as bigint) << {SEGMENT_BITS}) | "
+                  f"cast(segments[i div {SEGMENT_BITS}] & ~(1 << (i % {SEGMENT_BITS})) as bigint))")
+    index = fps.select("node", F.explode(each).alias("key")).repartition("key").sortWithinPartitions("key")
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, held_node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        before = None                                   # key of the row before the held ones
+        for batch in batches:
+            key = np.concatenate([held_key, batch.column("key").to_numpy()])
+            node = np.concatenate([held_node, batch.column("node").to_numpy()])
+            if not len(key):
+                continue
+            same = key[1:] == key[:-1]
+            twice = np.append(key[0] == before if before is not None else False, same) | np.append(same, False)
+            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][twice[:-1]]), pa.array(node[:-1][twice[:-1]])], ["key", "node"])
+            before = key[-2] if len(key) > 1 else before
+            held_key, held_node = key[-1:], node[-1:]
+        if len(held_key) and before is not None and held_key[0] == before:
+            yield pa.RecordBatch.from_arrays([pa.array(held_key), pa.array(held_node)], ["key", "node"])
+
+    runs = stored(index.select("key", "node").mapInArrow(shared, "key long, node long"), "shared-signatures")
+    runs = runs.join(fps.select("node", "fp"), "node").repartition("key").sortWithinPartitions("key", "node")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def complete(key, node, fp):
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            a, b = [], []
+            for first, end in zip(start, np.append(start[1:], len(key))):
+                child, parent = _reached(fp[first:end])
+                a += node[first:end][child].tolist()
+                b += node[first:end][parent].tolist()
+            links = sorted(set(zip(a, b)))
+            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.int64()),
+                                               "b": pa.array([y for _, y in links], pa.int64())})
+
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, WIDE // 64), np.uint64)]
+        for batch in batches:
+            fp = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE // 64)
+            held = [np.concatenate(p) for p in zip(held, (batch.column("key").to_numpy(), batch.column("node").to_numpy(), fp))]
+            cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            if cut:
+                yield complete(*(h[:cut] for h in held))
+            held = [h[cut:] for h in held]
+        if len(held[0]):
+            yield complete(*held)
+
+    return runs.select("key", "node", "fp").mapInArrow(link, "a long, b long")
+
+
 def keep_one(docs: DataFrame, shingle: int = PIPELINE_SHINGLE, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, all columns unchanged: the smallest doc_id, then the smallest text hash.
+    """One row of each group of similar documents, all columns unchanged: the smallest doc_id, then text hash.
 
-    Rows without id stay only if their whole component has none. Rows that
-    repeat both id and text count as copies. An empty table stays empty.
+    Similar are texts whose ``WIDE``-bit fingerprints of five-word shingles
+    differ by ``MOST_WIDE_BITS`` bits at most, which is about a similarity of
+    0.8, and what links of such texts join. Equal texts meet first. Rows
+    without id stay only if their whole group has none. Rows that repeat both id
+    and text count as copies. An empty table stays empty.
     """
     keys = row_keys(id_column, text)
-    hashed = stored(fingerprints(docs, shingle, id_column, text, keys), "fingerprints")
+    hashed = stored(wide_fingerprints(docs, shingle, id_column, text, keys), "wide-fingerprints")
+    hashed = hashed.withColumn("node", F.xxhash64("fp"))
+    nodes = stored(hashed.groupBy("node").agg(F.first("fp").alias("fp"), F.first("segments").alias("segments")), "wide-nodes")
+    roots = components(similar_links(nodes))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
-    first = _with_components(hashed).groupBy("root").agg(F.min(order).alias("first"))
-    first = first.select(F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"))
+    least = hashed.groupBy("node").agg(F.min(order).alias("first"))
+    least = least.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    first = least.select(F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), *[c.alias(n) for n, c in keys.items()])
     rows = rows.join(first, ["k1", "k2"], "left_semi")
     copy = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))
