@@ -16,7 +16,7 @@ from attriflux.llm.shared import text_column
 SAMPLE_DOCS = 1500          # labelled documents of each label that are used, those with the smallest id hashes
 SAMPLE_BYTES = 16384        # of each of them, at most
 DICTIONARY_BYTES = 65536
-BLOCK_BYTES = 2048          # texts are compressed in blocks, so that a long one does not become its own dictionary
+BLOCK_BYTES = 1024          # texts are compressed in blocks, so that a long one does not become its own dictionary
 LEVEL = 3
 THRESHOLD = 0.3
 
@@ -32,13 +32,13 @@ class CompressionModel:
 
     good: bytes
     bad: bytes
-    weights: tuple[float, float, float]
-    center: tuple[float, float]
-    scale: tuple[float, float]
+    weights: tuple[float, ...]
+    center: tuple[float, ...]
+    scale: tuple[float, ...]
 
     def scores(self, values: np.ndarray) -> np.ndarray:
-        x = (values.reshape(-1, 2) - np.array(self.center)) / np.array(self.scale)
-        return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights[:2]) + self.weights[2], -30, 30)))
+        x = (values.reshape(-1, 3) - np.array(self.center)) / np.array(self.scale)
+        return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights[:-1]) + self.weights[-1], -30, 30)))
 
 
 def dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
@@ -54,7 +54,8 @@ class Sizes:
     """What a text's compressed sizes with both dictionaries tell.
 
     Their difference as a share of their sum (-1 to 1), and the smaller size
-    against the text's own: text that repeats itself shrinks far with either.
+    against the text's own, also as a logarithm: text that repeats itself
+    shrinks far with either.
     """
 
     def __init__(self, good: bytes, bad: bytes):
@@ -70,10 +71,13 @@ class Sizes:
         loaded.precompute_compress(level=LEVEL)
         return loaded
 
-    def __call__(self, text: bytes) -> tuple[float, float]:
+    def __call__(self, text: bytes) -> tuple[float, float, float]:
         blocks = [text[i:i + BLOCK_BYTES] for i in range(0, len(text), BLOCK_BYTES)]
         good, bad = (sum(len(c.compress(b)) for b in blocks) for c in self.compressors)
-        return ((bad - good) / (bad + good), min(good, bad) / len(text)) if blocks else (0.0, 1.0)
+        if not blocks:
+            return 0.0, 1.0, 0.0
+        left = min(good, bad) / len(text)
+        return (bad - good) / (bad + good), left, float(np.log(left))
 
 
 def calibrate(x: np.ndarray, labels: np.ndarray, rounds: int = 50) -> np.ndarray:
