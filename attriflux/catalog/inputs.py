@@ -20,8 +20,7 @@ def event_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_features(spark: SparkSession, folder: str, **options) -> DataFrame:
-    """Sales facts are grouped to one row per campaign and month, so a campaign's window is bounded."""
-    return engineer_features(sales_facts(spark, folder), hot_rows=None, **options)
+    return engineer_features(sales_facts(spark, folder), **options)
 
 
 def raw_touches(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,6 +128,13 @@ SELECT *, CAST(row_number() OVER (PARTITION BY user_id, path_id ORDER BY ts, eve
   CASE WHEN conv THEN value WHEN NOT bool_or(conv) OVER (PARTITION BY user_id, path_id) THEN 0::DOUBLE END AS revenue
 FROM (SELECT *, CAST(coalesce(sum(CAST(conv AS INT)) OVER (PARTITION BY user_id ORDER BY ts, event_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS path_id FROM touches)"""),
+    "heavytouches": (("touches",), "SELECT * REPLACE (user_id % 2 AS user_id) FROM touches"),
+    "heavypaths": (("heavytouches",), """
+SELECT *, CAST(row_number() OVER (PARTITION BY user_id, path_id ORDER BY ts, event_id) - 1 AS BIGINT) AS touch_index,
+  count(*) OVER (PARTITION BY user_id, path_id) AS n_touches,
+  CASE WHEN conv THEN value WHEN NOT bool_or(conv) OVER (PARTITION BY user_id, path_id) THEN 0::DOUBLE END AS revenue
+FROM (SELECT *, CAST(coalesce(sum(CAST(conv AS INT)) OVER (PARTITION BY user_id ORDER BY ts, event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS path_id FROM heavytouches)"""),
     "channels": ((), f"""
 SELECT * FROM (VALUES {_values}) AS v(channel, funnel_position, avg_cpc, trackable_without_cookies)"""),
     "detected": (("paths",), f"SELECT *, {', '.join(_detected(m) for m in TRACKING_METHODS)} FROM paths"),

@@ -31,10 +31,14 @@ def build_journeys(spark, folder):
     return rounded(jo.build_journeys(raw_touches(spark, folder)).select(*_path_columns, "is_converting_touch"))
 
 
-@register("build_journeys_hot", _paths_sql)
+_heavy_sql = sql(f"SELECT {columns_sql(_path_columns, ['revenue'])}, conv AS is_converting_touch FROM heavypaths", "heavypaths")
+
+
+@register("build_journeys_hot", _heavy_sql)
 def build_journeys_hot(spark, folder):
-    """The way taken by users with too many touches for one task, here for all above 20."""
-    return rounded(jo.build_journeys(raw_touches(spark, folder), hot_rows=20).select(*_path_columns, "is_converting_touch"))
+    """Two users hold all touches between them."""
+    heavy = raw_touches(spark, folder).withColumn("user_id", F.col("user_id") % 2)
+    return rounded(jo.build_journeys(heavy).select(*_path_columns, "is_converting_touch"))
 
 
 @register("enrich_channel", sql(f"""SELECT event_id, channel, funnel_position, {r('avg_cpc')} AS avg_cpc, trackable_without_cookies

@@ -390,11 +390,22 @@ def explain_rows(spark, folder):
     return values.select(*KEY, er.explain_rows(values, ANOMALY_FEATURES, name).alias("explanation"))
 
 
+@register("anomaly_explanations", sql(f"""SELECT {', '.join(KEY)}, 'Row ' || concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in KEY)}) || ':' || chr(10) ||
+  '  Top 3 factors:' || chr(10) || string_agg({_line}, chr(10) ORDER BY rank) AS explanation
+FROM ({_phi_ranked}) WHERE rank <= 3 AND (source, campaign_name, c_date) IN (
+  SELECT (source, campaign_name, c_date) FROM features WHERE is_anomaly = 1) GROUP BY {', '.join(KEY)}""", "cleaned"))
+def anomaly_explanations(spark, folder):
+    """The texts of all anomalies, as the run of the explainer writes them."""
+    flagged = sales_features(spark, folder).filter(F.col("is_anomaly") == 1).select(*KEY)
+    values = linear_shap(spark, folder).join(flagged, KEY)
+    name = F.concat_ws("|", *[F.col(k).cast("string") for k in KEY])
+    return values.select(*KEY, er.explain_rows(values, ANOMALY_FEATURES, name).alias("explanation"))
+
+
 @register("anomaly_explain_table", sql(f"""SELECT {', '.join(KEY)}, rank, feature, {r('phi', 4)} AS shap_value,
   CASE WHEN {r('phi', 4)} > 0 THEN 'TOWARD anomaly' ELSE 'AWAY from anomaly' END AS direction
 FROM ({_phi_ranked}) WHERE rank <= 3 AND (source, campaign_name, c_date) IN (
-  SELECT (source, campaign_name, c_date) FROM features WHERE is_anomaly = 1
-  ORDER BY c_date DESC, source, campaign_name LIMIT 20)""", "cleaned"))
+  SELECT (source, campaign_name, c_date) FROM features WHERE is_anomaly = 1)""", "cleaned"))
 def anomaly_explain_table(spark, folder):
     out = er.anomaly_explain_table(
         sales_features(spark, folder), linear_shap(spark, folder), ANOMALY_FEATURES, KEY)

@@ -52,14 +52,15 @@ def explain_rows(df: DataFrame, features: list[str], name: Column, values: str =
 
 
 def anomaly_explain_table(df: DataFrame, shap: DataFrame, features: list[str], keys: list[str],
-                          rows: int = 20, top_n: int = 3) -> DataFrame:
-    """The latest ``rows`` anomalies with their top features and directions.
+                          rows: int | None = None, top_n: int = 3) -> DataFrame:
+    """All anomalies (or the latest ``rows``) with their top features and directions.
 
-    Features and SHAP values are joined on the row's key. The first 20
-    anomalies are what the report shows.
+    Features and SHAP values are joined on the row's key.
     """
-    latest = df.filter(F.col("is_anomaly") == 1).orderBy(F.desc("c_date"), *keys).limit(rows)
-    joined = shap.select(*keys, *features, "shap_values").join(F.broadcast(latest.select(*keys)), keys)
+    wanted = df.filter(F.col("is_anomaly") == 1)
+    if rows is not None:
+        wanted = wanted.orderBy(F.desc("c_date"), *keys).limit(rows)
+    joined = shap.select(*keys, *features, "shap_values").join(wanted.select(*keys), keys)
     ranked = top_features(joined, features, keys, top_n=top_n)
     return ranked.withColumn(
         "direction", F.when(F.col("shap_value") > 0, "TOWARD anomaly").otherwise("AWAY from anomaly"))

@@ -223,18 +223,18 @@ def compare_forecast_models(df: DataFrame) -> Comparison:
 
 
 def predict_roas(trained: Trained, requests: DataFrame) -> DataFrame:
-    """Add predicted_roas (4 digits) and the model's name."""
-    scored = trained.transform(requests)
+    """Add predicted_roas (4 digits) and the model's name; the request's own columns stay as they came."""
+    scored = trained.transform(requests.withColumn("_request", F.struct("*")))
     return scored.select(
-        *requests.columns, half_even("prediction", 4).alias("predicted_roas"), F.lit(trained.name).alias("model_used"))
+        *[F.col("_request")[c].alias(c) for c in requests.columns], half_even("prediction", 4).alias("predicted_roas"), F.lit(trained.name).alias("model_used"))
 
 
 def predict_anomaly(trained: Trained, requests: DataFrame) -> DataFrame:
     """Add label ANOMALY or NORMAL; ``skipped`` where roas, roas_wow or roas_rolling3 is missing."""
     complete = F.col("roas").isNotNull() & F.col("roas_wow").isNotNull() & F.col("roas_rolling3").isNotNull()
-    scored = trained.transform(requests.withColumn("_complete", complete))
+    scored = trained.transform(requests.withColumn("_complete", complete).withColumn("_request", F.struct(*requests.columns)))
     label = (F.when(~F.col("_complete"), "skipped").when(F.col("prediction") == 1, "ANOMALY").otherwise("NORMAL"))
     return scored.select(
-        *requests.columns, label.alias("label"),
+        *[F.col("_request")[c].alias(c) for c in requests.columns], label.alias("label"),
         F.when(F.col("_complete"), F.col("prediction") == 1).alias("is_flagged"),
         F.lit(trained.name).alias("model_used"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attriflux.functions.columns import fixed
@@ -59,7 +59,11 @@ def row_to_document(columns: list[str]) -> Column:
 
 
 def create_documents(df: DataFrame) -> DataFrame:
-    """(id, text, metadata). The id is made from the business key, so it does not depend on row order."""
+    """(id, text, metadata). The id is made from the business key, so it does not depend on row order.
+
+    Facts without an id of their own may share their key. The second and later
+    ones, in order of all their values, get their number behind it.
+    """
     columns = df.columns
     parts = [c for c in ("source", "campaign_name", "c_date", "id") if c in columns]
     plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in columns else F.lit("")
@@ -68,8 +72,13 @@ def create_documents(df: DataFrame) -> DataFrame:
                  else F.lit(0)).alias("is_anomaly")]
     if "c_date" in columns:
         metadata.append(plain("c_date").alias("c_date"))
+    name = F.concat_ws("|", F.lit("row"), *[plain(c) for c in parts])
+    if "id" not in columns:
+        same = Window.partitionBy(*parts).orderBy(*columns) if parts else Window.partitionBy(*columns).orderBy(*columns)
+        df = df.withColumn("_nth", F.row_number().over(same))
+        name = F.concat_ws("|", name, F.when(F.col("_nth") > 1, F.col("_nth").cast("string")))
     return df.select(
-        F.concat_ws("|", F.lit("row"), *[plain(c) for c in parts]).alias("id"),
+        name.alias("id"),
         row_to_document(columns).alias("text"),
         F.struct(*metadata).alias("metadata"))
 
@@ -91,11 +100,16 @@ def build_prompt(hits: DataFrame, questions: DataFrame) -> DataFrame:
         F.array(message("system", F.lit(SYSTEM_PROMPT)), message("user", user)).alias("messages"))
 
 
-def answer_sources(hits: DataFrame) -> DataFrame:
-    """Per question: number of sources, their campaigns in rank order, and the distinct campaigns."""
+def answer_sources(hits: DataFrame, questions: DataFrame | None = None) -> DataFrame:
+    """Per question: number of sources, their campaigns in rank order, and the distinct campaigns.
+
+    With ``questions`` (query_id), those without hits have a row too, with no sources.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("rank", F.col("metadata.campaign_name").alias("name"))))
     out = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("sources_count"), ordered.alias("ordered"))
-    names = F.transform("ordered", lambda s: s["name"])
+    if questions is not None:
+        out = questions.select("query_id").join(out, "query_id", "left")
+    names = F.transform(F.coalesce("ordered", F.array()), lambda s: s["name"])
     return out.select(
-        "query_id", "sources_count", names.alias("source_campaigns"),
+        "query_id", F.coalesce("sources_count", F.lit(0).cast("bigint")).alias("sources_count"), names.alias("source_campaigns"),
         F.array_sort(F.array_distinct(names)).alias("distinct_campaigns"))

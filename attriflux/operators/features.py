@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attriflux.functions.columns import ratio
-from attriflux.operators.skew import HOT_ROWS, hot_keys, ordered_parts
 from attriflux.schemas import DERIVED_COLUMNS
 
 DROP_THRESHOLD = 0.8   # an anomaly is a fall below this share of the rolling mean
@@ -59,40 +58,9 @@ def _previous_and_rolling(df: DataFrame, *keys: str) -> DataFrame:
     })
 
 
-def _split_windows(df: DataFrame, rows: int) -> DataFrame:
-    """Same columns as ``_previous_and_rolling`` for campaigns that are too large for one task.
-
-    The rows are cut into ordered parts. Values need only the row's own part,
-    except for the first two rows of a campaign in a part. Those are redone
-    over the edges (first and last two rows of each part), where the two rows
-    before them are always present.
-    """
-    keys = ["campaign_name", "_part"]
-    parts = ordered_parts(df, ["campaign_name", *order_columns(df)], rows)
-    w = Window.partitionBy(*keys).orderBy(*order_columns(df))
-    reach = ROLLING_ROWS - 1
-    marked = _previous_and_rolling(parts, *keys).withColumns({
-        "_head": F.lag(F.lit(1), reach).over(w).isNull(),
-        "_tail": F.lead(F.lit(1), reach).over(w).isNull()})
-    edges = marked.filter(F.col("_head") | F.col("_tail"))
-    heads = _previous_and_rolling(edges, "campaign_name").filter("_head")
-    return marked.filter(~F.col("_head")).unionByName(heads).drop("_head", "_tail", "_part")
-
-
-def add_windows(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Previous values and rolling means per campaign.
-
-    One exchange and one sort per campaign is the best plan while a campaign
-    fits in a task. Campaigns above ``hot_rows`` are looked for first and cut
-    into parts. Pass None if the facts are known to be at their grain, one
-    row per source, campaign and date, which bounds a campaign by itself.
-    """
-    df = df.filter(F.col("campaign_name").isNotNull())
-    hot = None if hot_rows is None else hot_keys(df, "campaign_name", hot_rows)
-    if hot is None:
-        return _previous_and_rolling(df, "campaign_name")
-    usual = _previous_and_rolling(hot.others(df, "campaign_name"), "campaign_name")
-    return usual.unionByName(_split_windows(hot.of(df, "campaign_name"), hot.rows))
+def add_windows(df: DataFrame) -> DataFrame:
+    """Previous values and rolling means per campaign: one exchange, one sort, frames of three rows at most."""
+    return _previous_and_rolling(df.filter(F.col("campaign_name").isNotNull()), "campaign_name")
 
 
 def add_changes(df: DataFrame) -> DataFrame:
@@ -117,10 +85,10 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop(subset=["roas_wow", "ctr_wow"])
 
 
-def engineer_features(df: DataFrame, hot_rows: int | None = HOT_ROWS, keep_incomplete: bool = False) -> DataFrame:
+def engineer_features(df: DataFrame, keep_incomplete: bool = False) -> DataFrame:
     """Facts to features: ratios, previous values, changes, rolling means, anomaly flag."""
     facts = df.columns
-    out = add_changes(add_windows(add_ratios(df), hot_rows)).withColumn("is_anomaly", anomaly_rule())
+    out = add_changes(add_windows(add_ratios(df))).withColumn("is_anomaly", anomaly_rule())
     out = out if keep_incomplete else drop_incomplete(out)
     return out.select(*facts, *DERIVED_COLUMNS)
 

@@ -6,7 +6,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attriflux.operators.skew import HOT_ROWS, hot_keys, ordered_parts
 from attriflux.schemas import TRACKING_METHODS
 
 # Channel, funnel position, average cost per click, seen without cookies.
@@ -36,52 +35,7 @@ def enrich_channel(df: DataFrame, channels: DataFrame | None = None) -> DataFram
     return df.join(channels, "channel", "left")
 
 
-def _positions(touches: DataFrame, *keys: str) -> DataFrame:
-    """Row number, conversions before the row, and rows of the last and next conversion, within the keys."""
-    w = Window.partitionBy(*keys).orderBy("ts", "event_id")
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    numbered = touches.withColumn("_rn", F.row_number().over(w).cast("bigint"))
-    numbered = numbered.withColumn("_conv_rn", F.when(F.col("is_conversion"), F.col("_rn")))
-    return numbered.withColumns({
-        "_convs_before": F.count("_conv_rn").over(earlier),
-        "_last_conv": F.max("_conv_rn").over(earlier),
-        "_next_conv": F.min("_conv_rn").over(w.rowsBetween(0, Window.unboundedFollowing))})
-
-
-def _part_offsets(positions: DataFrame) -> DataFrame:
-    """Per user and part: rows and conversions before it, and the nearest conversions outside it."""
-    parts = positions.groupBy("user_id", "_part").agg(
-        F.count(F.lit(1)).alias("_n"), F.count("_conv_rn").alias("_c"),
-        F.min("_conv_rn").alias("_first"), F.max("_conv_rn").alias("_last"))
-    by_part = Window.partitionBy("user_id").orderBy("_part")
-    past = by_part.rowsBetween(Window.unboundedPreceding, -1)
-    future = by_part.rowsBetween(1, Window.unboundedFollowing)
-    parts = parts.withColumns({
-        "_offset": F.coalesce(F.sum("_n").over(past), F.lit(0)),
-        "_conv_offset": F.coalesce(F.sum("_c").over(past), F.lit(0)),
-        "_user_rows": F.sum("_n").over(Window.partitionBy("user_id"))})
-    parts = parts.withColumns({
-        "_carried": F.max(F.col("_offset") + F.col("_last")).over(past),
-        "_coming": F.min(F.col("_offset") + F.col("_first")).over(future)})
-    return parts.select("user_id", "_part", "_offset", "_conv_offset", "_user_rows", "_carried", "_coming")
-
-
-def _paths(positions: DataFrame, columns: list[str]) -> DataFrame:
-    """Path and touch numbers from the positions and the offsets of their part."""
-    start = F.coalesce(F.col("_offset") + F.col("_last_conv"), F.col("_carried"), F.lit(0))
-    conversion_at = F.coalesce(F.col("_offset") + F.col("_next_conv"), F.col("_coming"))
-    end = F.coalesce(conversion_at, F.col("_user_rows"))
-    converts = F.col("is_conversion")
-    out = positions.withColumns({
-        "path_id": F.col("_conv_offset") + F.col("_convs_before"),
-        "touch_index": F.col("_offset") + F.col("_rn") - start - 1,
-        "n_touches": end - start,
-        "is_converting_touch": converts,
-        "revenue": F.when(converts, F.col("value")).when(conversion_at.isNull(), F.lit(0.0))})
-    return out.select(*columns, "path_id", "touch_index", "n_touches", "is_converting_touch", "revenue")
-
-
-def build_journeys(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def build_journeys(touches: DataFrame) -> DataFrame:
     """Number each user's touches in (ts, event_id) order and split them after every conversion.
 
     Adds path_id and touch_index (both from 0), n_touches of the path,
@@ -89,24 +43,24 @@ def build_journeys(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     revenue: the value on the converting touch, missing on the other touches
     of a converting path, 0 on paths without conversion.
 
-    Users are numbered with one exchange and one sort. Users above
-    ``hot_rows`` are looked for first; theirs are cut into ordered parts,
-    numbered inside each part and shifted by what lies before it, so that no
-    user has to fit in a task. Touches without a user belong to no journey.
+    One exchange by user serves all windows. They are running counts and sums
+    over whole paths, so the time is linear in a user's touches, and sorts and
+    buffers spill. Touches without a user belong to no journey.
     """
     touches = touches.filter(F.col("user_id").isNotNull())
     columns = [c for c in touches.columns if c not in ("is_conversion", "value")]
-    hot = hot_keys(touches, "user_id", hot_rows)
-    usual = touches if hot is None else hot.others(touches, "user_id")
-    none = F.lit(None).cast("bigint")
-    out = _paths(_positions(usual, "user_id").withColumns({
-        "_offset": F.lit(0).cast("bigint"), "_conv_offset": F.lit(0).cast("bigint"), "_carried": none, "_coming": none,
-        "_user_rows": F.count(F.lit(1)).over(Window.partitionBy("user_id"))}), columns)
-    if hot is None:
-        return out
-    parts = ordered_parts(hot.of(touches, "user_id"), ["user_id", "ts", "event_id"], hot.rows)
-    positions = _positions(parts, "user_id", "_part")
-    return out.unionByName(_paths(positions.join(_part_offsets(positions), ["user_id", "_part"]), columns))
+    in_order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = touches.withColumn("path_id", F.count(F.when(F.col("is_conversion"), 1)).over(earlier))
+    path = Window.partitionBy("user_id", "path_id")
+    rows = rows.withColumns({
+        "touch_index": (F.row_number().over(path.orderBy("ts", "event_id")) - 1).cast("bigint"),
+        "n_touches": F.count(F.lit(1)).over(path),
+        "_converts": F.coalesce(F.max("is_conversion").over(path), F.lit(False))})
+    converts = F.col("is_conversion")
+    return rows.select(
+        *columns, "path_id", "touch_index", "n_touches", converts.alias("is_converting_touch"),
+        F.when(converts, F.col("value")).when(~F.col("_converts"), F.lit(0.0)).alias("revenue"))
 
 
 def cross_device_flag() -> Column:
@@ -144,9 +98,9 @@ def visibility_flags(df: DataFrame) -> DataFrame:
         "enhanced_visible": seen("cookie", "utm", "fingerprint", "server_side")})
 
 
-def touchpoints(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def touchpoints(touches: DataFrame) -> DataFrame:
     """The full touchpoint table of the raw touches."""
-    df = add_tracking(enrich_channel(build_journeys(touches, hot_rows)))
+    df = add_tracking(enrich_channel(build_journeys(touches)))
     df = visibility_flags(df).withColumn("cross_device", cross_device_flag())
     return df.select(
         "user_id", "path_id", "touch_index", "n_touches", "channel", "funnel_position", "date",

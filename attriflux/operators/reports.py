@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attriflux.functions.columns import half_even, ratio
+from attriflux.operators.features import order_columns
 
 # Columns shown for an anomaly.
 ANOMALY_COLUMNS = [
@@ -106,7 +107,7 @@ def best_worst_campaign(df: DataFrame) -> DataFrame:
 
 def campaign_summary(df: DataFrame, campaign: str) -> DataFrame:
     """One row of totals for a campaign; no row if there is no such campaign."""
-    first = F.min_by("category", "c_date")
+    first = F.min_by("category", F.struct(*order_columns(df)))
     return df.filter(F.col("campaign_name") == campaign).groupBy("campaign_name").agg(
         first.alias("category"), F.count(F.lit(1)).alias("total_entries"),
         F.min("c_date").alias("start_date"), F.max("c_date").alias("end_date"),

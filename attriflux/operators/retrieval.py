@@ -156,7 +156,7 @@ def _scan(docs: DataFrame, block: list[tuple], k: int, doc_id: str, vec: str, qu
                 yield pa.RecordBatch.from_pydict(
                     {"query_id": [query_ids[j]] * len(hit[0]), "doc_id": hit[0], "distance": hit[1]}, schema)
 
-    hits = docs.select(doc_id, vec).mapInArrow(best_of_partition, out)
+    hits = docs.select(doc_id, vec).filter(F.col(vec).isNotNull()).mapInArrow(best_of_partition, out)
     # k rows per query and task are left
     w = Window.partitionBy("query_id").orderBy("distance", "doc_id")
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -166,17 +166,17 @@ def query_topk(docs: DataFrame, queries: DataFrame, top_k: int = 5, doc_id: str
                block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, doc_id, distance, rank): the exact top k by squared Euclidean distance.
 
-    A block of queries is sent to every task, so its size is checked. More
+    Documents and queries without a vector take no part; vectors of another
+    length are an error. A block of queries is sent to every task, so its size is checked. More
     queries are streamed through the driver block by block, each with its own
     pass over the documents; results are gathered in a table.
     """
     spark = docs.sparkSession
     query_type = queries.schema["query_id"].dataType
-    wanted = queries.select("query_id", F.col(vec).alias("vec"))
+    wanted = queries.select("query_id", F.col(vec).alias("vec")).filter(F.col("vec").isNotNull())
     first = [(r[0], r[1]) for r in wanted.limit(block + 1).collect()]
     if len(first) <= block:
-        # at most block x k rows, so a later join may send them around
-        return _scan(docs, first, top_k, doc_id, vec, query_type).hint("broadcast")
+        return _scan(docs, first, top_k, doc_id, vec, query_type)
     path = fresh_path(spark, "topk")
     stream = ((r[0], r[1]) for r in wanted.toLocalIterator())
     for part in _blocks(stream, block):

@@ -80,7 +80,7 @@ def _saved(result: Comparison, spark: SparkSession, path: str | None) -> Compari
 
 
 def run_explainer(features: DataFrame, anomaly: Trained, forecast: Trained, path: str) -> dict[str, DataFrame]:
-    """SHAP values of all rows for both models, their importances, and the first three anomalies explained."""
+    """SHAP values of all rows for both models, their importances, and all anomalies explained."""
     spark = features.sparkSession
     keys = business_key(features)
     out = {}
@@ -92,7 +92,7 @@ def run_explainer(features: DataFrame, anomaly: Trained, forecast: Trained, path
         save_shap(explained, names, keys, f"{path}/{task}_shap")
         out[task] = feature_importance(explained, names)
         if task == "anomaly":
-            first = explained.filter(F.col("is_anomaly") == 1).orderBy("campaign_name", "c_date").limit(3)
+            flagged = explained.filter(F.col("is_anomaly") == 1)
             name = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-            out["explanations"] = first.select(*keys, explain_rows(first, names, name).alias("explanation"))
+            out["explanations"] = flagged.select(*keys, explain_rows(flagged, names, name).alias("explanation"))
     return out

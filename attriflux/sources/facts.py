@@ -27,9 +27,22 @@ def standardise_columns(df: DataFrame) -> DataFrame:
 def _typed(name: str) -> Column:
     """A known column in its declared type, NaN as null."""
     if name == "c_date":
-        return F.to_date(F.col(name))
-    value = F.col(name).cast(FACT_TYPES[name])
-    return F.when(~F.isnan(value), value) if FACT_TYPES[name] == T.DoubleType() else value
+        return F.col(name).try_cast("date")
+    value = F.col(name).try_cast("double")       # whole numbers also come as 1000.0, where a column has gaps
+    value = F.when(~F.isnan(value), value)
+    if FACT_TYPES[name] == T.DoubleType():
+        return value
+    exact = F.col(name).try_cast(FACT_TYPES[name])
+    return F.coalesce(exact, value.try_cast(FACT_TYPES[name])) if FACT_TYPES[name] == T.LongType() else exact
+
+
+def unread_values(df: DataFrame) -> DataFrame:
+    """(column, unread): how many texts of the known columns are no value of their type and load as null."""
+    named = df.toDF(*[c.lower().strip() for c in df.columns])
+    known = [c for c in named.columns if c in FACT_TYPES]
+    blank = lambda c: F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "") | (F.lower(F.col(c).cast("string")) == "nan")
+    counts = named.agg(*[F.count(F.when(~blank(c) & _typed(c).isNull(), 1)).alias(c) for c in known])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("unread")) for c in known])).alias("r")).select("r.*")
 
 
 def load_campaigns(spark: SparkSession, original: str, combined: str | None = None,
@@ -91,7 +104,7 @@ def validate_unified(df: DataFrame, source_name: str) -> DataFrame:
         if name == "source":
             return F.lit(source_name)
         if name == "c_date":
-            return F.to_date(F.col(name))
+            return F.col(name).try_cast("date")
         if name in NUMERIC_COLUMNS:
             number = F.col(name).cast("double")
             return F.coalesce(F.when(~F.isnan(number), number), F.lit(0.0)).cast(FACT_TYPES[name])

@@ -1,4 +1,5 @@
 import json
+import time
 from itertools import combinations
 from math import factorial
 
@@ -7,7 +8,6 @@ from pyspark.sql import functions as F
 
 from attriflux.operators import attribution as at
 from attriflux.operators import journeys as jo
-from attriflux.operators import skew
 from attriflux.operators import tracking as tr
 from attriflux.plans.runs import attribution_report
 from attriflux.schemas import ATTRIBUTION_MODELS
@@ -44,24 +44,27 @@ def test_revenue_sits_on_the_last_touch(journeys):
     assert others.filter("revenue IS NOT NULL").count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 3, 10])
-def test_hot_users_give_the_same_journeys(touches, limit):
-    usual, hot = jo.build_journeys(touches), jo.build_journeys(touches, hot_rows=limit)
-    assert usual.exceptAll(hot).count() == 0 and hot.exceptAll(usual).count() == 0
-
-
-def test_parts_of_few_touches(spark, touches, monkeypatch):
-    monkeypatch.setattr(skew, "LEAST_PARTS", 120)
-    one = touches.withColumn("user_id", F.col("user_id") % 2).filter("event_id < 300")
-    usual, hot = jo.build_journeys(one), jo.build_journeys(one, hot_rows=5)
-    assert usual.exceptAll(hot).count() == 0 and usual.count() == hot.count()
-
-
-def test_one_user_with_all_touches(spark, touches):
-    """One user holds everything, with several touches per minute."""
+def test_one_user_with_all_touches(touches):
+    """One user holds everything, with several touches per hour."""
     one = touches.withColumns({"user_id": F.lit(1).cast("bigint"), "ts": F.date_trunc("hour", "ts")})
-    usual, hot = jo.build_journeys(one), jo.build_journeys(one, hot_rows=5)
-    assert usual.exceptAll(hot).count() == 0 and hot.exceptAll(usual).count() == 0
+    rows = jo.build_journeys(one).orderBy("ts", "event_id").collect()
+    path = index = 0
+    for r in rows:
+        assert (r.path_id, r.touch_index) == (path, index)
+        path, index = (path + 1, 0) if r.is_converting_touch else (path, index + 1)
+
+
+def test_time_is_linear_in_a_users_touches(spark):
+    """A million touches of one user take no more than a few times as long as the same touches of many users."""
+    def seconds(users):
+        raw = spark.range(1_000_000).select(
+            (F.col("id") % users).alias("user_id"), F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"),
+            (F.col("id") % 1_000_003 == 7).alias("is_conversion"), F.lit(1.0).alias("value"))
+        start = time.perf_counter()
+        jo.build_journeys(raw).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+    many = min(seconds(8000), seconds(8000))
+    assert seconds(1) < 12 * many + 10
 
 
 def test_enhanced_sees_at_least_as_much(journeys):

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from attriflux.operators import features as fe
 from attriflux.operators import reports as rep
-from attriflux.operators import skew
 from attriflux.schemas import DERIVED_COLUMNS
 from attriflux.sources.derived import facts_from_sales, table
 from attriflux.sources.facts import load_features, save_table
@@ -39,33 +38,21 @@ def test_sources_without_spend_lose_all_rows(raw_facts):
     assert fe.engineer_features(raw_facts.withColumn("mark_spent", F.lit(0.0))).count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 2, 30, 75])
-def test_hot_campaigns_give_the_same_values(spark, folder, limit):
-    facts = facts_from_sales(*[table(spark, folder, n) for n in ("lineitem", "supplier", "nation", "region")])
-    usual = fe.engineer_features(facts, hot_rows=None)
-    split = fe.engineer_features(facts, hot_rows=limit)
-    assert usual.exceptAll(split).count() == 0 and split.exceptAll(usual).count() == 0
-
-
-def test_hot_campaign_with_many_rows_per_day(spark):
-    """Chunks of many rows: values inside a chunk and across its edges."""
+def test_heavy_campaign_against_pandas(spark):
+    """Two thirds of all rows are one campaign's, many of them of one day."""
     rows = spark.range(600).select(
-        "id", F.lit("s").alias("source"), F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 7)).alias("campaign_name"),
+        "id", F.lit("s").alias("source"), F.when(F.col("id") % 3 < 2, "heavy").otherwise(F.concat(F.lit("c"), F.col("id") % 7)).alias("campaign_name"),
         F.lit("x").alias("category"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 11).cast("int")).alias("c_date"),
         (F.col("id") % 97 + 5).alias("impressions"), (F.col("id") % 13 + 1).alias("clicks"), (F.col("id") % 5).alias("leads"),
         (F.col("id") % 3).alias("orders"), (F.col("id") % 19 + 1.5).alias("mark_spent"), (F.col("id") * 7 % 101 + 0.5).alias("revenue"))
-    usual, split = fe.engineer_features(rows, hot_rows=None), fe.engineer_features(rows, hot_rows=100)
-    assert usual.exceptAll(split).count() == 0 and split.count() == usual.count()
-
-
-@pytest.mark.parametrize("parts", [2, 40, 150])
-def test_parts_of_any_size(spark, folder, monkeypatch, parts):
-    """Parts with one or two rows: the rows before a part's head lie several parts back."""
-    monkeypatch.setattr(skew, "LEAST_PARTS", parts)
-    rows = facts_from_sales(*[table(spark, folder, n) for n in ("lineitem", "supplier", "nation", "region")])
-    one = rows.filter("campaign_name < 'Supplier#000000002'")
-    usual, split = fe.engineer_features(one, hot_rows=None), fe.engineer_features(one, hot_rows=10)
-    assert usual.count() == split.count() and usual.exceptAll(split).count() == 0
+    got = fe.engineer_features(rows, keep_incomplete=True).toPandas().sort_values("id").set_index("id")
+    want = rows.toPandas().sort_values(["campaign_name", "c_date", "source", "id"])
+    want["roas"] = want.revenue / want.mark_spent
+    by = want.groupby("campaign_name").roas
+    want["prev"], want["mean"] = by.shift(1), by.transform(lambda x: x.rolling(3, min_periods=1).mean())
+    want = want.sort_values("id").set_index("id")
+    assert got.roas_prev.fillna(-1).tolist() == pytest.approx(want.prev.fillna(-1).tolist())
+    assert got.roas_rolling3.tolist() == pytest.approx(want["mean"].tolist())
 
 
 def test_independent_of_partitions(spark, folder):
