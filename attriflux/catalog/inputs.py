@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from attriflux.operators.features import engineer_features
-from attriflux.operators.journeys import CHANNEL_ROWS, DETECTION_RATES, build_journeys, touchpoints
+from attriflux.operators.journeys import CHANNEL_ROWS, build_journeys, touchpoints
 from attriflux.schemas import ANOMALY_FEATURES, TRACKING_METHODS
 from attriflux.sources.derived import (
-    CHANNEL_BOUNDS, DRAW_FACTORS, TRAIT_FACTORS, facts_from_events, facts_from_sales, table, touch_events)
+    CHANNEL_BOUNDS, DETECTION_RATES, DRAW_FACTORS, TRAIT_FACTORS, facts_from_events, facts_from_sales, table, touch_events)
 
 
 def sales_facts(spark: SparkSession, folder: str) -> DataFrame:

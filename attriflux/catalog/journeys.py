@@ -210,7 +210,9 @@ def _flat(insights):
 
 @register("attribution_insights", _insights_sql)
 def attribution_insights(spark, folder):
-    journeys = touch_table(spark, folder)
+    path = fresh_path(spark, "touches")
+    save_table(touch_table(spark, folder), path)         # read by the attribution and by the figures
+    journeys = spark.read.parquet(path)
     return _flat(tr.attribution_insights(journeys, at.attribution(journeys, ["last_click", "shapley"])))
 
 

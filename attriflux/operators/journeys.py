@@ -19,8 +19,6 @@ CHANNEL_ROWS = [
     ("organic_search", "mid_funnel", 0.0, True),
     ("direct", "bottom_funnel", 0.0, False),
 ]
-# How often each method detects a touch.
-DETECTION_RATES = {"cookie": 0.95, "utm": 0.90, "fingerprint": 0.70, "referrer": 0.60, "server_side": 0.92}
 
 
 def channel_dimension(spark: SparkSession) -> DataFrame:
@@ -84,9 +82,9 @@ def suppress_detection(method: str, detected: Column) -> Column:
 
 
 def add_tracking(df: DataFrame) -> DataFrame:
-    """tracking_* flags from the detection draws (draw_<method> below the method's rate)."""
+    """tracking_* flags from what each method detected (detected_<method>), less what it cannot see."""
     return df.withColumns({
-        f"tracking_{m}": suppress_detection(m, F.col(f"draw_{m}") < F.lit(DETECTION_RATES[m]))
+        f"tracking_{m}": suppress_detection(m, F.col(f"detected_{m}"))
         for m in TRACKING_METHODS})
 
 

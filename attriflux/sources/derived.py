@@ -19,6 +19,8 @@ CHANNEL_BOUNDS = [
 ]
 # Multipliers that spread user traits and detection draws over 0..99.
 TRAIT_FACTORS = {"cookies": 37, "adblocker": 53, "device": 71}
+# How often each method detects a touch.
+DETECTION_RATES = {"cookie": 0.95, "utm": 0.90, "fingerprint": 0.70, "referrer": 0.60, "server_side": 0.92}
 DRAW_FACTORS = {"cookie": 17, "utm": 29, "fingerprint": 41, "referrer": 59, "server_side": 83}
 
 
@@ -86,7 +88,10 @@ def channel_of(number: Column) -> Column:
 
 
 def touch_events(events: DataFrame) -> DataFrame:
-    """Raw touches of the event table: channel, day, conversion and value, user traits and draws."""
+    """Raw touches of the event table: channel, day, conversion and value, user traits and what each method detected.
+
+    The event table has no traits and no detections; both are made from its ids, as inputs of the operators.
+    """
     number = F.get_json_object("props", "$.k").cast("int")
     user, event = F.col("user_id"), F.col("event_id")
     traits = {
@@ -94,8 +99,9 @@ def touch_events(events: DataFrame) -> DataFrame:
         "has_adblocker": user * TRAIT_FACTORS["adblocker"] % 100 < 25,
         "switches_device": user * TRAIT_FACTORS["device"] % 100 < 30,
     }
-    draws = {f"draw_{m}": ((event * f + user) % 100) / F.lit(100.0) for m, f in DRAW_FACTORS.items()}
+    detected = {f"detected_{m}": ((event * f + user) % 100) / F.lit(100.0) < F.lit(DETECTION_RATES[m])
+                for m, f in DRAW_FACTORS.items()}
     return events.select(
         "user_id", "event_id", "ts", F.to_date("ts").alias("date"), channel_of(number).alias("channel"),
         (F.col("event_type") == "purchase").alias("is_conversion"), "value",
-        *[c.alias(n) for n, c in traits.items()], *[c.alias(n) for n, c in draws.items()])
+        *[c.alias(n) for n, c in traits.items()], *[c.alias(n) for n, c in detected.items()])

@@ -63,3 +63,12 @@ def test_category_of_the_first_day_is_settled(spark):
     from attriflux.operators.features import engineer_features
     facts = standardise_columns(spark.createDataFrame(rows, [*RAW_COLUMNS, "source"]))
     assert rep.campaign_summary(engineer_features(facts, keep_incomplete=True), "x").first().category == "first"
+
+
+def test_stratified_cut_is_exact(spark):
+    from attriflux.ml.prepare import split_stratified
+    rows = spark.range(400_000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(0).alias("y"))
+    rows = rows.unionByName(spark.range(400_000, 400_007).select("id", F.lit(None).cast("int").alias("y")))
+    got = {(r.y, r.split): r["count"] for r in split_stratified(rows, "y").groupBy("y", "split").count().collect()}
+    assert got == {(0, "test"): 53_334, (0, "train"): 213_332, (1, "test"): 26_667, (1, "train"): 106_667,
+                   (None, "test"): 2, (None, "train"): 5}
