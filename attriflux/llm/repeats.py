@@ -191,7 +191,7 @@ def repeated_starts(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     second = stored(_sort_out(named), "phrase-parts-twice")
     single = second.filter("mixed").select("k1", "n", "core", "first", F.posexplode("names").alias("i", "name"))
     twice = single.groupBy("core", "name").agg(F.count(F.lit(1)).alias("c")).filter("c >= 2").select("core", "name")
-    single = single.join(twice, ["core", "name"]).select(
+    single = single.join(stored(twice, "repeated-strings"), ["core", "name"]).select(
         "k1", "n", (F.col("first") + F.col("i")).alias("first"), (F.col("first") + F.col("i")).alias("last"))
     return starts(same).unionByName(starts(copied)).unionByName(
         second.filter("NOT mixed").select("k1", "n", "first", "last")).unionByName(single)
