@@ -21,9 +21,9 @@ MOST_BITS = 3               # fingerprints with at most so many differing bits a
 RUN = 256                   # members of a signature that are compared with each other; larger ones are refined
 
 
-WIDE = 256                  # bits of the fingerprints that tell similar documents
-MOST_WIDE_BITS = 40         # of them that may differ: a similarity of 0.8 gives 39 on average
-SEGMENTS = 12               # segments of a wide fingerprint, one of which has to differ by at most one bit
+WIDE = 1024                 # bits of the fingerprints that tell similar documents
+MOST_WIDE_BITS = 164        # of them that may differ: a similarity of 0.8 gives 155 on average, give or take 12
+SEGMENTS = 20               # disjoint segments of a wide fingerprint, one of which has to differ by at most one bit
 SEGMENT_BITS = 24
 
 
@@ -234,27 +234,33 @@ def hex_digits(fp: Column) -> Column:
 
 # ---- similar documents: wider fingerprints, of which some segments differ by one bit at most ----
 
+def mixed_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """A 64-bit hash of every shingle, combined from hashes of its words. Fewer words: one for the whole sequence."""
+    digest = xxhash.xxh3_64_digest
+    hashes = np.frombuffer(b"".join([digest(w) for w in words]), np.uint64)
+    size = min(shingle, len(words))
+    out = np.zeros(len(words) - size + 1, np.uint64)
+    for i in range(size):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += hashes[i:i + len(out)]
+    return out
+
+
 def wide_fingerprint(words: list[bytes], shingle: int = PIPELINE_SHINGLE) -> np.ndarray:
     """``WIDE`` majority bits of the hashes of all shingles. No words: no bits."""
-    total, count = np.zeros(WIDE, np.int64), 0
-    if words:
-        grams = [b" ".join(words)] if len(words) < shingle else [
-            b" ".join(s) for s in zip(*(words[i:] for i in range(shingle)))]
-        count, digest = len(grams), xxhash.xxh3_128_digest
-        for at in range(0, count, 4096):
-            part = grams[at:at + 4096]
-            for seed in range(WIDE // 128):
-                bits = np.frombuffer(b"".join([digest(g, seed + 1) for g in part]), np.uint8).reshape(-1, 16)
-                total[128 * seed:128 * seed + 128] += np.unpackbits(bits, axis=1).sum(0, dtype=np.int64)
-    return (2 * total > count).astype(np.uint8)
-
-
-def _segment_bits() -> np.ndarray:
-    """Which bits each segment takes: permutations of all bits, one after the other, cut into segments."""
-    draws = np.random.Generator(np.random.PCG64(3))
-    rounds = -(-SEGMENTS // (WIDE // SEGMENT_BITS))
-    return np.concatenate([
-        draws.permutation(WIDE)[:WIDE // SEGMENT_BITS * SEGMENT_BITS].reshape(-1, SEGMENT_BITS) for _ in range(rounds)])[:SEGMENTS]
+    total = np.zeros(WIDE, np.int64)
+    if not words:
+        return total.astype(np.uint8)
+    hashes = mixed_hashes(words, shingle)
+    odd = np.random.Generator(np.random.PCG64(3)).integers(1 << 63, dtype=np.uint64, size=WIDE // 64) | np.uint64(1)
+    for at in range(0, len(hashes), 255):               # counts of a block fit into bytes
+        part = hashes[at:at + 255, None] ^ odd
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            part ^= part >> np.uint64(shift)
+            part *= np.uint64(factor)
+        part ^= part >> np.uint64(33)
+        total += np.unpackbits(part.view(np.uint8), axis=1).sum(0, dtype=np.uint8)
+    return (2 * total > len(hashes)).astype(np.uint8)
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int, id_column: str, text: str, keys: dict[str, Column]) -> DataFrame:
@@ -265,13 +271,13 @@ def wide_fingerprints(docs: DataFrame, shingle: int, id_column: str, text: str,
         "fp": F.lit(b""), "segments": F.array().cast("array<int>")}).schema
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, powers = _segment_bits(), 1 << np.arange(SEGMENT_BITS)
+        powers = 1 << np.arange(SEGMENT_BITS)
         for batch in batches:
             found, segments = [], []
             for value in batch.column("text").cast(pa.large_binary()):
                 bits = wide_fingerprint(value.as_py().lower().split(), shingle)
                 found.append(np.packbits(bits).tobytes())
-                segments.append((bits[places] @ powers).tolist())
+                segments.append((bits[:SEGMENTS * SEGMENT_BITS].reshape(SEGMENTS, -1) @ powers).tolist())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(found, pa.binary()), pa.array(segments, pa.list_(pa.int32()))],
                 [*names, "fp", "segments"])
@@ -299,7 +305,8 @@ def _reached(fps: np.ndarray) -> tuple[list[int], list[int]]:
 def similar_links(fps: DataFrame) -> DataFrame:
     """(a, b): links between nodes whose fingerprints share a signature and differ by ``MOST_WIDE_BITS`` bits at most.
 
-    Every segment has a signature for each of its bits blanked. The first deal
+    Every segment has a signature for each of its bits blanked; at a similarity of 0.8, 0.85 and 0.9 two texts
+    share one with a chance of 0.9, 0.97 and 0.99. The first deal
     by signature carries node numbers only and keeps signatures of two nodes or
     more; those are dealt again with the fingerprints. In a signature's run each
     member is compared with members not reached yet, so a run of near copies

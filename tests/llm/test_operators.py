@@ -325,6 +325,30 @@ def test_flight_keeps_totals_and_expectation():
 
 # ---- pipeline ----
 
+def test_similar_documents_meet_and_others_stay(spark):
+    """Near copies of 0.85 and more lose all but one; texts that share 0.6 or less of their shingles stay."""
+    draws = np.random.default_rng(4)
+    rows, groups = [], {}
+
+    def similarity(a, b):
+        a, b = ({tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    for g in range(60):
+        first = [f"w{x}" for x in draws.integers(0, 5000, int(draws.integers(100, 600)))]
+        near = first.copy()
+        for at in draws.choice(len(near), max(1, len(near) // 100), replace=False):
+            near[at] = f"n{at}"
+        far = first[:len(first) // 2] + [f"f{x}" for x in draws.integers(0, 5000, len(first) - len(first) // 2)]
+        assert similarity(first, near) >= 0.85 and similarity(first, far) <= 0.6
+        for text in (first, near, far):
+            rows.append((len(rows), " ".join(text)))
+            groups[len(rows) - 1] = (g, text is far)
+    stayed = [r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len({groups[d] for d in stayed}) == 120 and len(stayed) <= 122
+
+
+
 def test_pipeline_against_its_parts(spark, folder, small_docs, texts):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     first = corpus_pipeline.quality(spark, small_docs, folder)
