@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 from math import factorial
 
 import numpy as np
@@ -22,6 +21,9 @@ from attriflux.ml.prepare import business_key, clean_features
 from attriflux.session import fresh_path
 
 BACKGROUND_ROWS = 50
+BLOCK_CELLS = 1 << 18       # numbers of an array that a task works on at once: it stays in the processor's cache
+KERNEL_CELLS = 1 << 21      # numbers of the mixed rows that one prediction call gets
+BLOCK_ROWS = 256            # rows that meet a block of leaves
 
 
 # ---- linear models ----
@@ -90,55 +92,66 @@ def leaf_rules(trees: list[tuple[float, list[dict]]]) -> list[tuple]:
     return leaves
 
 
-@lru_cache(maxsize=None)
 def _orders(d: int) -> np.ndarray:
     """Shapley weights s! (d-s-1)! / d! for s = 0..d-1."""
     return np.array([factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)])
 
 
-def leaf_table(shares: np.ndarray, value: float) -> np.ndarray:
-    """Contribution of each path feature, for each pattern of conditions that a row meets.
+def leaf_arrays(leaves: list[tuple], features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower bounds, upper bounds and cover shares as (feature, leaf) matrices, and the leaves' values.
 
-    Row m of the table belongs to the pattern whose bits are m. Features not
-    in a coalition count with their cover share, those in it with 0 or 1, so
-    the sums over coalitions are the coefficients of a product of d - 1
-    linear factors.
+    A feature that a path does not visit has no bounds and the share 1, so its factor below is always 1.
     """
-    d = len(shares)
-    met = ((np.arange(2 ** d)[:, None] >> np.arange(d)[None, :]) & 1).astype("float64")
-    table = np.zeros((2 ** d, d))
-    for i in range(d):
-        coefficients = np.zeros((2 ** d, d))
-        coefficients[:, 0] = 1.0
-        for j in range(d):
-            if j != i:
-                shifted = np.zeros_like(coefficients)
-                shifted[:, 1:] = coefficients[:, :-1] * met[:, j:j + 1]
-                coefficients = coefficients * shares[j] + shifted
-        table[:, i] = value * (met[:, i] - shares[i]) * (coefficients @ _orders(d))
-    return table
+    low, high = np.full((features, len(leaves)), -np.inf), np.full((features, len(leaves)), np.inf)
+    share, values = np.ones((features, len(leaves))), np.zeros(len(leaves))
+    for i, (at, lows, highs, shares, value) in enumerate(leaves):
+        low[at, i], high[at, i], share[at, i], values[i] = lows, highs, shares, value
+    return low, high, share, values
 
 
 def expected_value(leaves: list[tuple]) -> float:
     return float(sum(value * np.prod(shares) for _, _, _, shares, value in leaves))
 
 
-def tree_shap_values(tables: list[tuple], rows: np.ndarray) -> np.ndarray:
-    phi = np.zeros(rows.shape)
-    for features, low, high, bits, table in tables:
-        x = rows[:, features]
-        phi[:, features] += table[((x > low) & (x <= high)) @ bits]
+def tree_shap_values(leaves: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """SHAP values of every row from the arrays of ``leaf_arrays``.
+
+    A feature outside a coalition counts with its cover share z, one inside
+    with m = 0 or 1. The weight s! (d-s-1)! / d! of a coalition is the
+    integral of t^s (1-t)^(d-1-s) over 0..1, so the sum over all coalitions
+    of the other features is the integral of the product of their factors
+    z (1-t) + m t. That is a polynomial in t, which Gauss-Legendre points
+    integrate exactly: no coalition is ever listed.
+    """
+    low, high, share, value = leaves
+    points, weights = np.polynomial.legendre.leggauss((rows.shape[1] + 1) // 2)
+    points, weights = (points + 1) / 2, weights / 2
+    phi, columns = np.zeros(rows.shape), rows.T[:, :, None]
+    block = max(1, BLOCK_CELLS // max(1, rows.size))
+    for at in range(0, len(value), block):
+        z = share[:, None, at:at + block]
+        met = (columns > low[:, None, at:at + block]) & (columns <= high[:, None, at:at + block])
+        total = np.zeros(met.shape)
+        for t, w in zip(points, weights):
+            factor = z * (1 - t) + met * t
+            total += (w * factor.prod(axis=0)) / factor
+        phi += ((met - z) * total * value[at:at + block]).sum(axis=2).T
     return phi
 
 
 def shap_tree(df: DataFrame, features: list[str], leaves: list[tuple], out: str = "shap_values") -> DataFrame:
-    """Exact path-dependent SHAP values of the trees whose leaves are given."""
-    tables = [(f, low, high, 1 << np.arange(len(f)), leaf_table(z, v)) for f, low, high, z, v in leaves if len(f)]
-    sent = df.sparkSession.sparkContext.broadcast(tables)   # as large as the model
+    """Exact path-dependent SHAP values of the trees whose leaves are given.
+
+    What is sent to the tasks is three numbers per leaf and feature. Rows and
+    leaves are met in blocks of ``BLOCK_CELLS`` numbers.
+    """
+    sent = df.sparkSession.sparkContext.broadcast(leaf_arrays(leaves, len(features)))   # as large as the model
 
     @F.arrow_udf("array<double>")
     def values(rows: pa.Array) -> pa.Array:
-        return from_matrix(tree_shap_values(sent.value, to_matrix(rows, len(features))))
+        matrix = to_matrix(rows, len(features))
+        parts = [tree_shap_values(sent.value, matrix[at:at + BLOCK_ROWS]) for at in range(0, len(matrix), BLOCK_ROWS)]
+        return from_matrix(np.concatenate(parts) if parts else matrix)
 
     return df.withColumn(out, values(F.array(*[F.col(c).cast("double") for c in features])))
 
@@ -156,13 +169,14 @@ def coalition_weights(k: int) -> np.ndarray:
 def kernel_shap_values(predict: Callable[[np.ndarray], np.ndarray], background: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """All 2^k coalitions: features outside a coalition take the background rows' values."""
     k = rows.shape[1]
-    inside = ((np.arange(2 ** k)[:, None] >> np.arange(k)[None, :]) & 1).astype("float64")
-    outside = (1.0 - inside)[:, None, :] * background[None, :, :]
+    inside = ((np.arange(2 ** k)[:, None] >> np.arange(k)[None, :]) & 1).astype(bool)[:, None, :]
     weights = coalition_weights(k)
     out = np.empty(rows.shape)
-    for i, row in enumerate(rows):
-        mixed = outside + (inside * row)[:, None, :]
-        out[i] = weights @ predict(mixed.reshape(-1, k)).reshape(len(inside), -1).mean(axis=1)
+    block = max(1, KERNEL_CELLS // (background.size << k))
+    for at in range(0, len(rows), block):
+        mixed = np.where(inside, rows[at:at + block, None, None, :], background)
+        scores = predict(mixed.reshape(-1, k)).reshape(*mixed.shape[:3])
+        out[at:at + block] = scores.mean(axis=2) @ weights.T
     return out
 
 

@@ -148,9 +148,8 @@ def test_tree_shap_equals_all_coalitions():
              node(cover=2, value=1.0), node(2, -1.0, 7, 8, 4), node(cover=3, value=-2.0), node(cover=1, value=5.0),
              node(cover=1, value=3.0), node(cover=3, value=0.5)]
     leaves = sh.leaf_rules([(1.0, nodes)])
-    tables = [(f, lo, hi, 1 << np.arange(len(f)), sh.leaf_table(z, v)) for f, lo, hi, z, v in leaves]
     x = np.random.default_rng(1).normal(size=(20, 3)) * 2
-    assert np.allclose(sh.tree_shap_values(tables, x), [brute_tree_shap(nodes, r) for r in x])
+    assert np.allclose(sh.tree_shap_values(sh.leaf_arrays(leaves, x.shape[1]), x), [brute_tree_shap(nodes, r) for r in x])
 
 
 def test_kernel_shap_of_a_linear_function():
