@@ -311,11 +311,19 @@ def predict_anomaly(spark, folder):
     return mo.predict_anomaly(anomaly_comparison(spark, folder).best, requests)
 
 
-_runs_sql = "SELECT * FROM (VALUES " + ", ".join(
-    "('{}', '{}', '{}', '{}', '{}')".format(
-        experiment, name, kind, ",".join(sorted(f"{k}={v}" for k, v in params.items())),
-        ",".join(sorted(mo.CLASS_METRICS if experiment == ex.ANOMALY_EXPERIMENT else mo.REGRESSION_METRICS)))
-    for (experiment, _), (name, kind, params) in ex.RUNS.items()) + ") AS v(experiment, run_name, model_type, params, metrics)"
+_runs_sql = """SELECT * FROM (VALUES
+  ('anomaly_detection', 'logistic_regression', 'LogisticRegression', 'max_iter=1000', 'accuracy,f1,precision,recall'),
+  ('anomaly_detection', 'random_forest', 'RandomForest', 'max_depth=10,n_estimators=100,random_state=42', 'accuracy,f1,precision,recall'),
+  ('anomaly_detection', 'xgboost', 'XGBoost',
+   'learning_rate=0.1,max_bins=32,max_depth=4,min_rows_per_leaf=1,n_estimators=100,random_state=42', 'accuracy,f1,precision,recall'),
+  ('anomaly_detection', 'isolation_forest', 'IsolationForest', 'contamination=0.3,n_estimators=100,random_state=42',
+   'accuracy,f1,precision,recall'),
+  ('roas_forecasting', 'linear_regression', 'LinearRegression', 'penalty=0.0,solver=normal', 'mae,r2,rmse'),
+  ('roas_forecasting', 'xgboost_regressor', 'XGBoostRegressor',
+   'learning_rate=0.1,max_bins=32,max_depth=4,min_rows_per_leaf=1,n_estimators=100,random_state=42', 'mae,r2,rmse'),
+  ('roas_forecasting', 'lightgbm_regressor', 'LightGBM',
+   'learning_rate=0.1,max_bins=255,max_depth=4,min_rows_per_leaf=20,n_estimators=100,random_state=42', 'mae,r2,rmse')
+) AS v(experiment, run_name, model_type, params, metrics)"""
 
 
 @register("log_experiment_run", _runs_sql)

@@ -27,7 +27,7 @@ def run_collection(frames: Mapping[str, DataFrame], path: str, start: str | None
     """
     today = dt.date.today()
     combined, errors = combine_sources(
-        frames, start or str(today - dt.timedelta(days=30)), end or str(today))
+        frames, start or str(today - dt.timedelta(days=30)), end or str(today), ordered=False)
     if combined is None:
         return None, errors
     save_table(combined, path)

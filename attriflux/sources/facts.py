@@ -114,8 +114,8 @@ def validate_unified(df: DataFrame, source_name: str) -> DataFrame:
 
 
 def combine_sources(frames: Mapping[str, DataFrame | Callable[[], DataFrame]], start: str | None = None,
-                    end: str | None = None) -> tuple[DataFrame | None, list[dict[str, str]]]:
-    """Validate every source, stack the valid ones in (source, campaign, date) order.
+                    end: str | None = None, ordered: bool = True) -> tuple[DataFrame | None, list[dict[str, str]]]:
+    """Validate every source and stack the valid ones, in (source, campaign, date) order unless that is not asked for.
 
     With a start or an end only the facts of that range are kept. A source that fails to load or to validate is left out and reported in
     the second result. Only schemas are looked at here; no data is read.
@@ -132,7 +132,7 @@ def combine_sources(frames: Mapping[str, DataFrame | Callable[[], DataFrame]], s
         return None, errors
     if start is not None or end is not None:
         stacked = fetch_date_range(stacked, start, end)
-    return stacked.orderBy("source", "campaign_name", "c_date"), errors
+    return stacked.orderBy("source", "campaign_name", "c_date") if ordered else stacked, errors
 
 
 def source_summary(df: DataFrame) -> DataFrame:

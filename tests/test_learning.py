@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from attriflux.catalog import learning as le
 from attriflux.explain import report as er
 from attriflux.explain import shap as sh
+from attriflux.ml import experiments as ex
 from attriflux.ml import isolation_forest as iso
 from attriflux.ml import metrics as me
 from attriflux.ml import models as mo
@@ -204,3 +205,17 @@ def test_importance_and_ranks(spark):
 def test_registered_without_sql(spark, folder, name):
     from __spark_entry__ import queries
     assert queries()[name](spark, folder).count() > 0
+
+
+def test_logged_runs_name_the_model_and_its_parameters(spark, forecast, rows, tmp_path):
+    path = str(tmp_path / "runs")
+    ex.log_experiment_run(ex.FORECAST_EXPERIMENT, forecast, path)
+    runs = {r.run_name: r for r in ex.read_runs(spark, path).collect()}
+    assert set(runs) == {"linear_regression", "xgboost_regressor", "lightgbm_regressor"}
+    assert runs["lightgbm_regressor"].params["min_rows_per_leaf"] == "20"
+    for r, trained in zip((runs[n] for n in ("linear_regression", "xgboost_regressor", "lightgbm_regressor")),
+                          (forecast.models[n] for n in ("linear_regression", "xgboost", "lightgbm"))):
+        metric = forecast.metrics.filter((F.col("model") == trained.name) & (F.col("metric") == "mae")).first()["value"]
+        assert r.metrics["mae"] == metric
+        again = mo.load_model(spark, r.model_path).transform(rows).agg(F.sum("prediction")).first()[0]
+        assert again == pytest.approx(trained.transform(rows).agg(F.sum("prediction")).first()[0])
