@@ -348,6 +348,40 @@ def test_similar_documents_meet_and_others_stay(spark):
     assert len({groups[d] for d in stayed}) == 120 and len(stayed) <= 122
 
 
+def test_near_copies_about_the_bound(spark):
+    """All pairs planted at 0.80 to 0.85 lose one text, all at 0.70 to 0.79 stay, as do tiny texts; a failed link hides no other."""
+    draws = np.random.default_rng(8)
+    rows, expected = [], set()
+
+    def similarity(a, b):
+        a, b = ({tuple(t[i:i + 5]) for i in range(max(1, len(t) - 4))} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    def plant(first, other):
+        expected.add(len(rows))
+        if similarity(first, other) < 0.8:
+            expected.add(len(rows) + 1)
+        rows.extend([(len(rows), " ".join(first)), (len(rows) + 1, " ".join(other))])
+
+    bands = Counter()
+    while min(bands[True], bands[False]) < 150:
+        first = [f"w{x}" for x in draws.integers(0, 5000, int(draws.integers(60, 500)))]
+        other = first.copy()
+        for at in draws.choice(len(other), max(1, int(len(other) * draws.uniform(0.015, 0.045))), replace=False):
+            other[at] = f"n{at}"
+        s = similarity(first, other)
+        if (0.8 <= s <= 0.85 or 0.7 <= s <= 0.79) and bands[s >= 0.8] < 150:
+            bands[s >= 0.8] += 1
+            plant(first, other)
+    for size in range(5, 12):
+        plant([f"t{size}-{i}" for i in range(size)], [f"t{size}-{i}" for i in range(size + 1)])
+    # a chain: each is similar to the next ones only, so links to the first fail
+    chain = [f"c{i}" for i in range(400)]
+    expected.add(len(rows))
+    rows.extend([(len(rows) + k, " ".join(chain[12 * k:12 * k + 200])) for k in range(17)])
+    stayed = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert stayed == expected
+
 
 def test_pipeline_against_its_parts(spark, folder, small_docs, texts):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
