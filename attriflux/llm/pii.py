@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from attriflux.llm.shared import row_keys, stored, text_column
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3                  # rounds of scoring patterns by instances and instances by patterns
-LEAST_SCORE = 0.8           # a pattern at or above is trusted
-LEAST_SEEDS = 3             # distinct seed entities a trusted pattern was seen with
+ROUNDS = 3                  # rounds of scoring patterns by instances and instances by patterns, at least
+LEAST_SCORE = 0.8           # a pattern at or above is trusted, an instance accepted
+LEAST_SEEDS = 3             # distinct seeds or accepted instances a trusted pattern was seen with
 SMOOTHING = 2.0             # occurrences without evidence that every pattern is taken to have
 LEAST_DIGITS = 6            # digits of a word that may be an identifier
 
@@ -145,43 +145,58 @@ def extract(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     return kept.mapInArrow(find, schema)
 
 
-def trusted_patterns(places: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_SCORE,
-                     least_seeds: int = LEAST_SEEDS) -> DataFrame:
-    """(pattern, kind, score) of patterns that can be trusted, from the graph of patterns and instances.
+def bootstrapped(places: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_SCORE,
+                 least_seeds: int = LEAST_SEEDS) -> tuple[DataFrame, DataFrame]:
+    """(pattern, kind, score) of patterns that can be trusted and (instance, kind) of known instances, from their graph.
 
     ``places`` has a row per pattern of a place: pattern, instance, kind (of
-    seeds, else null). A pattern's score for a kind is the mean score of the
+    seeds, else null), fits. A pattern's score for a kind is the mean score of the
     instances it stands with, an instance's is the mean over its patterns;
-    seeds keep 1. Scores are rounded, so they do not depend on the order of sums.
+    seeds keep 1. An instance with the build of the kind is accepted when the
+    patterns that have enough seeds give it the least score; from the next round on it is a seed.
+    Rounds go on until one adds none. Scores are rounded, so they do not depend on the order of sums.
     """
-    edges = stored(places.groupBy("pattern", "instance", "kind").agg(F.count(F.lit(1)).alias("n")), "pii-edges")
-    seeds = edges.filter("kind IS NOT NULL").select("instance", "kind").distinct()
+    edges = stored(places.groupBy("pattern", "instance", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.first("fits").alias("fits")), "pii-edges")
+    known = stored(edges.filter("kind IS NOT NULL").select("instance", "kind").distinct(), "pii-known")
     links = edges.groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
     of_pattern = links.groupBy("pattern").agg(F.sum("n").alias("total"))
     of_instance = links.groupBy("instance").agg(F.sum("n").alias("total"))
-    scores = seeds.withColumn("score", F.lit(1.0))
-    for _ in range(rounds):
-        reached = links.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("s"))
+    builds = edges.filter("kind IS NULL").groupBy("instance").agg(F.first("fits").alias("fits"))
+    sure = lambda: known.withColumn("score", F.lit(1.0))
+    scores, number, done = sure().withColumn("seed", F.lit(1)), known.count(), 0
+    while True:
+        reached = links.join(scores, "instance").groupBy("pattern", "kind").agg(
+            F.sum(F.col("n") * F.col("score")).alias("s"), F.sum("seed").alias("seeds"))
         scored = stored(reached.join(of_pattern, "pattern").select(
-            "pattern", "kind", F.round(F.col("s") / (F.col("total") + SMOOTHING), 6).alias("score")), "pii-patterns")
-        back = links.join(scored, "pattern").groupBy("instance", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("s"))
-        back = back.join(of_instance, "instance").select(
-            "instance", "kind", F.round(F.col("s") / F.col("total"), 6).alias("score"))
-        sure = seeds.withColumn("seed", F.lit(True))
-        back = back.join(seeds.select("instance").distinct(), "instance", "left_anti")
-        scores = stored(back.unionByName(sure.select("instance", "kind", F.lit(1.0).alias("score"))), "pii-instances")
-    support = edges.filter("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count_distinct("instance").alias("seeds"))
-    return scored.join(support, ["pattern", "kind"]).filter(
-        (F.col("score") >= least_score) & (F.col("seeds") >= least_seeds)).select("pattern", "kind", "score")
+            "pattern", "kind", F.round(F.col("s") / (F.col("total") + SMOOTHING), 6).alias("score"), "seeds"), "pii-patterns")
+        back = links.join(scored, "pattern").groupBy("instance", "kind").agg(
+            F.sum(F.col("n") * F.col("score")).alias("s"),
+            F.sum(F.when(F.col("seeds") >= least_seeds, F.col("n") * F.col("score")).otherwise(0.0)).alias("t"))
+        back = back.join(of_instance, "instance").join(known.select("instance").distinct(), "instance", "left_anti")
+        back = stored(back.select("instance", "kind", F.round(F.col("s") / F.col("total"), 6).alias("score"),
+                                  F.round(F.col("t") / F.col("total"), 6).alias("trusted")), "pii-instances")
+        new = back.filter(F.col("trusted") >= least_score).join(builds, "instance").filter("element_at(fits, kind + 1)")
+        known, before, done = stored(known.unionByName(new.select("instance", "kind")), "pii-known"), number, done + 1
+        number = known.count()
+        if number == before and done >= rounds:
+            break
+        back = back.join(known.select("instance").distinct(), "instance", "left_anti").select("instance", "kind", "score")
+        scores = sure().withColumn("seed", F.lit(1)).unionByName(back.withColumn("seed", F.lit(0)))
+    trusted = scored.filter((F.col("score") >= least_score) & (F.col("seeds") >= least_seeds))
+    return trusted.select("pattern", "kind", "score"), known
 
 
 def discovered(extracted: DataFrame, **options) -> DataFrame:
-    """k1, k2 and the spans that trusted patterns find outside the base spans."""
-    place = extracted.select("k1", "k2", F.explode("places").alias("p"))
-    each = place.select("k1", "k2", "p.start", "p.end", "p.kind", "p.fits", "p.instance", F.explode("p.patterns").alias("pattern"))
-    trusted = trusted_patterns(each.select("pattern", "instance", "kind"), **options)
-    open_places = each.filter("kind IS NULL").drop("kind", "instance")
-    hits = open_places.join(trusted, "pattern").filter("element_at(fits, kind + 1)")
+    """k1, k2 and the spans outside the base spans that trusted patterns find, or whose instances are known."""
+    place = extracted.select("k1", "k2", F.explode("places").alias("p")).select("k1", "k2", "p.*")
+    each = place.withColumn("pattern", F.explode("patterns"))
+    trusted, known = bootstrapped(each.select("pattern", "instance", "kind", "fits"), **options)
+    fields = ["k1", "k2", "start", "end", "kind", "score"]
+    open_places = lambda rows: rows.filter("kind IS NULL").drop("kind")
+    hits = open_places(each).join(trusted, "pattern").filter("element_at(fits, kind + 1)").select(*fields)
+    own = open_places(place).join(known, "instance").filter("element_at(fits, kind + 1)").withColumn("score", F.lit(1.0))
+    hits = hits.unionByName(own.select(*fields))
     best = hits.groupBy("k1", "k2", "start", "end").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
     return best.groupBy("k1", "k2").agg(F.collect_list(F.struct(
         F.col("start"), F.col("kind"), F.col("end"))).cast(f"array<{_ITEM}>").alias("more"))
@@ -193,7 +208,8 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text: str = "
     Entities of the base rules are seeds. The words before them are lexical
     patterns; Spark scores the graph of patterns and instances in rounds, and
     patterns that are trusted then mark identifiers outside the base spans that
-    have the build of their kind. Null texts count as empty. Rows that repeat
+    have the build of their kind. Identifiers that are seeds elsewhere, or were
+    accepted in a round, are marked wherever they stand. Null texts count as empty. Rows that repeat
     give a row each; further columns are not read. An empty table gives no rows.
     """
     rows = stored(extract(docs, id_column, text), "pii-rows")

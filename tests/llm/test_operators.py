@@ -278,6 +278,22 @@ def test_trusted_patterns_find_unseen_identifiers(spark):
     assert [(s.kind, s.start, s.end) for s in found[1000]] == [(2, 21, 34)] and not found[1001] and not found[1002]
 
 
+def test_known_identifiers_are_marked_and_accepted_ones_are_seeds(spark):
+    """A seed is marked where the base rules fail, and identifiers that patterns accept make further patterns trusted."""
+    valid = [str(n) for n in range(4000000000000000, 4000000000009000) if pii.luhn(str(n))][:600]
+    texts = [f"some words, card no: {n} end" for n in valid]
+    accepted = [str(1000000000000 + i * 7) for i in range(20)]
+    texts += [f"some words, card no: {n} end" for n in accepted for _ in range(9)]
+    texts += [f"with token value {n} at last" for n in accepted]
+    first = len(texts)
+    texts += ["with token value 5555555555555 at last", f"both {valid[0]} {valid[1]} stand here", "length 7777777777777 of it"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    found = [[(s.kind, texts[d][s.start:s.end]) for s in rows[d].spans] for d in range(first, first + 3)]
+    assert not _base(texts[first + 1]) and rows[first + 1].n_card == 0
+    assert found == [[(2, "5555555555555")], [(2, valid[0]), (2, valid[1])], []]
+
+
 # ---- 10: mixing ----
 
 def test_targets_and_draws(spark, small_docs, texts):
