@@ -13,6 +13,7 @@ from attriflux.llm.shared import sized, stored, text_column
 SHARDS = 40
 ROW_BYTES = 16              # of every row besides its text
 CELLS = 256                 # parts that a group of copies can be cut into
+EQUAL_ROWS = 4096           # rows equal in id and text that are dealt together
 WHOLE_SHARE = 0.5           # a group stays whole up to this share of a shard, in bytes, tokens and rows
 LARGE_SHARE = 1 / 64        # units above this share of a shard are placed first, together
 BLOCK_UNITS = 2048          # smaller units that are placed together
@@ -41,12 +42,30 @@ def _falling(units: np.ndarray, total: np.ndarray, names: list) -> list[int]:
     return sorted(range(len(units)), key=lambda i: (-size[i], names[i]))
 
 
+def _with_cells(rows: DataFrame) -> DataFrame:
+    """The rows with a cell each: the first of equal rows by a hash of its id, the others in the cells that follow.
+
+    Equal rows are the same in all that is returned, so they are counted and dealt out
+    again from their count, many of them in ranges, so that no task has them all.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    few = counted.filter(F.col("n") <= EQUAL_ROWS).withColumn("from", F.lit(0).cast("long"))
+    many = counted.filter(F.col("n") > EQUAL_ROWS).withColumn(
+        "from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(EQUAL_ROWS).cast("long"))))
+    each = few.unionByName(many.repartition("digest", "doc_id", "from"))
+    last = F.least(F.col("n"), F.col("from") + EQUAL_ROWS) - 1
+    each = each.withColumn("nth", F.explode(F.sequence("from", last)))
+    first = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(CELLS))
+    return each.select(*rows.columns, F.pmod(first + F.col("nth"), F.lit(CELLS)).cast("int").alias("cell"))
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text: str = "text",
                     block_units: int = BLOCK_UNITS) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row; the shards' bytes are near equal, tokens and rows near.
 
     Copies of a text form a group, which stays together unless it takes more
-    than half a shard; then it is cut into cells by a hash of its rows. Units
+    than half a shard; then it is cut into cells by a hash of the id, and rows
+    equal in id and text, which are counted first, take one cell after the other. Units
     (groups or cells) above 1/64 of a shard are fewer than 3 x 64 x shards, so
     they are placed in one go, largest first. All others are dealt by hash into
     blocks, each with its share of what the large ones leave of every shard.
@@ -58,11 +77,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc
     gives no rows; further columns are not read.
     """
     value = text_column(text)
-    cell = F.pmod(F.xxhash64(F.col(id_column), F.lit(7)), F.lit(CELLS)).cast("int")
-    rows = stored(sized(docs, {
+    found = sized(docs, {
         "doc_id": F.col(id_column), "bytes": F.octet_length(value) + F.lit(ROW_BYTES).cast("long"),
-        "text_crc32": F.crc32(value.cast("binary")), "digest": F.unhex(F.md5(value.cast("binary"))), "cell": cell,
-    }, text).withColumnRenamed("size", "tokens"), "shard-rows")
+        "text_crc32": F.crc32(value.cast("binary")), "digest": F.unhex(F.md5(value.cast("binary"))),
+    }, text).withColumnRenamed("size", "tokens")
+    rows = stored(_with_cells(found), "shard-rows")
     totals = rows.agg(F.sum("bytes"), F.sum("tokens"), F.count(F.lit(1))).first()
     total = np.array([float(t or 0) for t in totals])
     share = total / shards

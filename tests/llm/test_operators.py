@@ -76,6 +76,22 @@ def test_shards_are_balanced_and_groups_stay(spark):
         assert sorted(r.slot for r in out if r.shard == shard) == list(range(sum(r.shard == shard for r in out)))
 
 
+def test_equal_rows_are_cut(spark):
+    """Copies with a null id, and rows that repeat id and text, are spread over the shards like copies with ids of their own."""
+    rows = [(None, "a copy of a text without id")] * 6000 + [(7, "a row that repeats its id as well")] * 5000
+    rows += [(100 + i, f"another text {i}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sharding.shard_documents(docs, shards=8).collect()
+    assert Counter(r.doc_id for r in out) == Counter(d for d, _ in rows)
+    sizes = Counter()
+    for r in out:
+        sizes[r.shard] += r["size"]
+    mean = sum(sizes.values()) / 8
+    assert len(sizes) == 8 and max(sizes.values()) < 1.02 * mean and min(sizes.values()) > 0.98 * mean
+    for shard in range(8):
+        assert sorted(r.slot for r in out if r.shard == shard) == list(range(sum(r.shard == shard for r in out)))
+
+
 # ---- 4: quality rules ----
 
 def test_counts_of_lines_and_windows(spark, small_docs, texts):
