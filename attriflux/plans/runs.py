@@ -16,14 +16,16 @@ from attriflux.operators import attribution as attr
 from attriflux.operators import tracking
 from attriflux.operators.features import engineer_features
 from attriflux.operators.journeys import touchpoints
-from attriflux.sources.facts import combine_sources, load_campaigns, save_table, source_summary
+from attriflux.sources.facts import combine_sources, load_campaigns, save_table, source_summary, unread_dates
 
 
 def run_collection(frames: Mapping[str, DataFrame], path: str, start: str | None = None,
                    end: str | None = None) -> tuple[DataFrame | None, list[dict[str, str]]]:
     """Combine all sources, save them, and return the per-source summary and the errors.
 
-    Without dates, the last 30 days up to today are collected.
+    Without dates, the last 30 days up to today are collected. The summary's
+    ``unread_dates`` counts rows of the source that no range keeps because
+    their date cannot be read; a source of which nothing else is left has a row too.
     """
     today = dt.date.today()
     combined, errors = combine_sources(
@@ -31,7 +33,13 @@ def run_collection(frames: Mapping[str, DataFrame], path: str, start: str | None
     if combined is None:
         return None, errors
     save_table(combined, path)
-    return source_summary(combined.sparkSession.read.parquet(path)), errors
+    summary = source_summary(combined.sparkSession.read.parquet(path))
+    failed = {e["connector"] for e in errors}
+    unread = unread_dates({name: frame for name, frame in frames.items() if name not in failed})
+    summary = summary.join(unread.withColumnRenamed("source", "_name"), F.col("source") == F.col("_name"), "full")
+    named = F.coalesce("source", "_name").alias("source")
+    summary = summary.filter("source IS NOT NULL OR unread_dates > 0")
+    return summary.select(named, *[c for c in summary.columns if c not in ("source", "_name")]), errors
 
 
 def run_features(spark: SparkSession, original: str, out: str, combined: str | None = None,

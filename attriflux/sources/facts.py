@@ -113,6 +113,25 @@ def validate_unified(df: DataFrame, source_name: str) -> DataFrame:
     return df.select([column(c).alias(c) for c in UNIFIED_COLUMNS])
 
 
+def unread_dates(frames: Mapping[str, DataFrame | Callable[[], DataFrame]]) -> DataFrame | None:
+    """(source, unread_dates): how many rows of every source have a date that cannot be read, which no date range keeps.
+
+    A lazy sum over the rows as they come. Sources that fail to load or have no date column are left out: ``combine_sources``
+    reports them. None if no source is left.
+    """
+    counted = None
+    for name, frame in frames.items():
+        try:
+            frame = frame() if callable(frame) else frame
+            text = F.col("c_date").cast("string")
+            bad = (F.trim(text) != "") & (F.lower(F.trim(text)) != "nan") & F.col("c_date").try_cast("date").isNull()
+            part = frame.agg(F.lit(name).alias("source"), F.count(F.when(bad, 1)).alias("unread_dates"))
+        except Exception:  # one bad source must not stop the others
+            continue
+        counted = part if counted is None else counted.unionByName(part)
+    return counted
+
+
 def combine_sources(frames: Mapping[str, DataFrame | Callable[[], DataFrame]], start: str | None = None,
                     end: str | None = None, ordered: bool = True) -> tuple[DataFrame | None, list[dict[str, str]]]:
     """Validate every source and stack the valid ones, in (source, campaign, date) order unless that is not asked for.

@@ -127,3 +127,12 @@ def test_collection_takes_the_last_30_days_by_default(spark, tmp_path, raw_facts
 def test_feature_run(spark, tmp_path, raw_facts):
     raw_facts.write.option("header", True).csv(str(tmp_path / "raw"))
     assert run_features(spark, str(tmp_path / "raw"), str(tmp_path / "features")).count() == 4
+
+
+def test_collection_counts_unread_dates(spark, raw_facts, tmp_path):
+    recent = raw_facts.withColumns({"c_date": F.current_date().cast("string")})
+    broken = recent.withColumn("c_date", F.when(F.col("campaign_id") == 101, "soon").otherwise(F.col("c_date")))
+    nothing = recent.withColumn("c_date", F.lit("2024-13-45"))
+    summary, errors = run_collection({"a": recent, "b": broken, "c": nothing}, str(tmp_path / "c"))
+    rows = {r.source: r for r in summary.collect()}
+    assert errors == [] and {k: (r.n_rows, r.unread_dates) for k, r in rows.items()} == {"a": (6, 0), "b": (3, 3), "c": (None, 6)}
