@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attriflux.llm import bit_sliced, compression_quality, license_scan, line_quality, mixing, packing, pii, repeats, sharding, simhash
+from attriflux.llm import (
+    alignment, bit_sliced, compression_quality, license_scan, line_quality, mixing, packing, pii, repeats, sharding,
+    simhash)
 from attriflux.llm.shared import read
 
 QUERIES: dict = {}
@@ -78,6 +80,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op12_token_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(read(spark, folder, "documents"), ids=False, digest=True)
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
