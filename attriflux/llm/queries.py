@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from attriflux.llm import (
     alignment, bit_sliced, compression_quality, license_scan, line_quality, mixing, packing, pii, repeats, sharding,
-    simhash)
+    simhash, whitening)
 from attriflux.llm.shared import read
 
 QUERIES: dict = {}
@@ -85,6 +85,11 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_tokenizers(read(spark, folder, "documents"), ids=False, digest=True)
 
 
+@register("op13_embedding_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
