@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from attriflux.llm import (
     alignment, bit_sliced, compression_quality, license_scan, line_quality, mixing, packing, pii, repeats, sharding,
-    simhash, whitening)
+    simhash, toxicity, whitening)
 from attriflux.llm.shared import read
 
 QUERIES: dict = {}
@@ -80,6 +80,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op11_weak_toxicity")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.find_toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 @register("op12_token_alignment")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_tokenizers(read(spark, folder, "documents"), ids=False, digest=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +92,22 @@ def word_counts(column: pa.Array) -> np.ndarray:
     return counts
 
 
+def totals(rows: DataFrame, size: int, of: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """Sums over all rows of the ``size`` numbers that ``of`` makes of a batch. A task gives ``size`` numbers, however many rows it has."""
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += of(batch)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], ["at", "total"])
+
+    found = rows.mapInArrow(partial, "at int, total double").groupBy("at").agg(F.sum("total").alias("total"))
+    out = np.zeros(size)
+    for r in found.collect():                               # ``size`` rows
+        out[r["at"]] = r["total"]
+    return out
+
+
 class RangeHashes:
     """64-bit hashes of byte ranges from one running sum.
 

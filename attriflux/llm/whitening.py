@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attriflux.llm.shared import stored
+from attriflux.llm.shared import stored, totals
 
 SCALE = 256                 # entries are read as whole numbers of this fraction
 COMPONENTS = 4
@@ -106,19 +106,7 @@ class Rows:
     def _summed(self, size: int, of) -> np.ndarray:
         """Sums over all rows of what ``of`` makes of a block of centred rows: ``size`` numbers."""
         centre, width = self.centre, self.width
-
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(size)
-            for batch in batches:
-                if batch.num_rows:
-                    total += of(centre.centred(_matrix(batch.column("x"), width)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], ["at", "total"])
-
-        found = self.fit.mapInArrow(partial, "at int, total double").groupBy("at").agg(F.sum("total").alias("total"))
-        out = np.zeros(size)
-        for r in found.collect():                           # ``size`` rows
-            out[r["at"]] = r["total"]
-        return out
+        return totals(self.fit, size, lambda batch: of(centre.centred(_matrix(batch.column("x"), width))))
 
     def variance(self) -> float:
         """Sum of all squared entries."""
