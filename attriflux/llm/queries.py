@@ -58,7 +58,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("op7_repeat_removal")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.remove_repeats(read(spark, folder, "documents")).drop("spans")
+    return repeats.remove_repeats(read(spark, folder, "documents"))
 
 
 @register("op8_compression_quality")
