@@ -10,6 +10,7 @@ from attriflux.catalog.inputs import CTES, once, r, sales_features, sql, table
 from attriflux.functions.columns import half_even, rounded
 from attriflux.operators import documents as do
 from attriflux.operators import retrieval as re_
+from attriflux.operators import vector_index
 from attriflux.session import fresh_path
 
 _fix = lambda e, d=2, sign="": f"coalesce(printf('%{sign}.{d}f', {r(e, d)}), 'nan')"
@@ -127,26 +128,59 @@ def query_topk(spark, folder):
 
 @register("query_topk_blocks", _nearest_sql("true"))
 def query_topk_blocks(spark, folder):
-    """The way taken when there are more queries than a task may hold, here three at a time."""
+    """Blocks of three queries: several blocks of queries meet each block of documents."""
     items = _items(spark, folder)
     return _shown(re_.query_topk(items, _centres(items), 5, block=3))
 
 
+@register("query_topk_many", sql(f"""SELECT query_id, doc_id, {r('distance')} AS distance, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, d.vec_id AS doc_id,
+      round_even(list_distance(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])) ** 2 * 1e9::DOUBLE, 0) / 1e9::DOUBLE AS distance
+    FROM embeddings q CROSS JOIN embeddings d)) WHERE rank <= 3"""))
+def query_topk_many(spark, folder):
+    """Every row is a query: as many queries as documents, in one plan."""
+    items = _items(spark, folder)
+    return _shown(re_.query_topk(items, items.select(F.col("id").alias("query_id"), "vec"), 3))
+
+
+def _bucketed(spark: SparkSession, folder: str) -> str:
+    make = lambda: vector_index.write_index(_items(spark, folder), fresh_path(spark, "vector-index"), buckets=32)
+    return once(spark, folder, "vector-index", make)
+
+
+@register("search_index", _nearest_sql("true"))
+def search_index(spark, folder):
+    """The bucketed index: only buckets that may hold a hit are read, and the answer is that of the whole table."""
+    hits, _ = vector_index.search_index(spark, _bucketed(spark, folder), _centres(_items(spark, folder)), 5)
+    return _shown(hits)
+
+
+@register("search_index_filtered", _nearest_sql("d.label >= 5"))
+def search_index_filtered(spark, folder):
+    items = _items(spark, folder)
+    hits, _ = vector_index.search_index(spark, _bucketed(spark, folder), _centres(items), 5, F.col("label") >= 5)
+    return _shown(hits)
+
+
 @register("query_topk_filtered", _nearest_sql("d.label >= 5"))
 def query_topk_filtered(spark, folder):
     items = _items(spark, folder)
     return _shown(re_.query_topk_filtered(items, _centres(items), F.col("label") >= 5, 5))
 
 
+def _index_path(spark: SparkSession, folder: str) -> str:
+    return once(spark, folder, "index", lambda: re_.create_index(sales_features(spark, folder), fresh_path(spark, "index")))
+
+
 def _index(spark: SparkSession, folder: str) -> tuple[DataFrame, re_.TextEncoder]:
-    path = once(spark, folder, "index", lambda: re_.create_index(sales_features(spark, folder), fresh_path(spark, "index")))
-    return re_.load_index(spark, path)
+    return re_.load_index(spark, _index_path(spark, folder))
 
 
 def _retrieved(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     docs, encoder = _index(spark, folder)
     questions = re_.question_frame(spark)
-    hits = re_.query_topk(docs, encoder.embed(questions, "question"), 3)
+    hits, _ = vector_index.search_index(spark, _index_path(spark, folder), encoder.embed(questions, "question"), 3)
     return re_.with_documents(hits, docs), questions
 
 
