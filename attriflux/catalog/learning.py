@@ -16,6 +16,7 @@ from attriflux.ml import experiments as ex
 from attriflux.ml import metrics as me
 from attriflux.ml import models as mo
 from attriflux.ml import prepare as pr
+from attriflux.ml.node_table import OUTPUTS, NodeEnsemble
 from attriflux.operators.reports import model_leaderboard as leaderboard
 from attriflux.plans.runs import run_explainer as explainer_run
 from attriflux.schemas import ANOMALY_FEATURES, FORECAST_FEATURES
@@ -179,6 +180,25 @@ def _written_features(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(once(spark, folder, "features", write))
 
 
+def _least_squares_metrics(features: list[str], target: str) -> str:
+    """Least squares on the training rows and its errors on the test rows, by orthogonalising one feature after the other."""
+    train = "FILTER (WHERE split = 'train') OVER ()"
+    tables = [f"""z AS (SELECT split, CAST({target} AS DOUBLE) AS y, {', '.join(f'coalesce({c}, 0)::DOUBLE AS x{j}' for j, c in enumerate(features))}
+  FROM randomsplit WHERE {target} IS NOT NULL)"""]
+    before = "z"
+    for j in range(len(features)):
+        tables.append(f"c{j} AS MATERIALIZED (SELECT *, x{j} - avg(x{j}) {train} AS z{j}_0 FROM {before})")
+        before = f"c{j}"
+        for i in range(j):
+            tables.append(f"c{j}_{i} AS MATERIALIZED (SELECT * EXCLUDE (z{j}_{i}), z{j}_{i} - z{i}_{i} * "
+                          f"coalesce(sum(z{j}_{i} * z{i}_{i}) {train} / nullif(sum(z{i}_{i} * z{i}_{i}) {train}, 0), 0) AS z{j}_{i + 1} FROM {before})")
+            before = f"c{j}_{i}"
+    fitted_sql = " + ".join(f"z{j}_{j} * coalesce(sum((y - m) * z{j}_{j}) {train} / nullif(sum(z{j}_{j} * z{j}_{j}) {train}, 0), 0)" for j in range(len(features)))
+    tables.append(f"f AS (SELECT split, y, m + {fitted_sql} AS p FROM (SELECT *, avg(y) {train} AS m FROM {before}))")
+    return f"""SELECT * FROM (WITH {', '.join(tables)} SELECT 'linear_regression' AS model, {r('avg(abs(y - p))', 4)} AS mae,
+  {r('sqrt(avg((y - p) * (y - p)))', 4)} AS rmse, {r('1 - avg((y - p) * (y - p)) / var_pop(y)', 4)} AS r2 FROM f WHERE split = 'test')"""
+
+
 def _register_training() -> None:
     queries = {
         "train_logistic": ("anomaly", "logistic_regression"),
@@ -189,11 +209,12 @@ def _register_training() -> None:
         "train_gbt_regressor": ("forecast", "xgboost"),
         "train_leafwise_regressor": ("forecast", "lightgbm"),
     }
+    oracles = {"train_linear": sql(_least_squares_metrics(FORECAST_FEATURES, "roas"), "randomsplit")}
     for query, (task, name) in queries.items():
         def run(spark, folder, task=task, name=name):
             """The model's metrics on the test rows."""
             return mo.evaluate_model(fitted(spark, folder, task, name), prepared_rows(spark, folder, task))
-        register(query)(run)
+        register(query, oracles.get(query))(run)
 
 
 _register_training()
@@ -253,7 +274,7 @@ def isolation_forest_share(spark, folder):
 @register("predict_anomaly_skipped", sql("""SELECT count(*) FILTER (WHERE roas IS NULL OR roas_wow IS NULL OR roas_rolling3 IS NULL) AS skipped,
   count(*) FILTER (WHERE roas IS NOT NULL AND roas_wow IS NOT NULL AND roas_rolling3 IS NOT NULL) AS predicted FROM allfeatures""", "allfeatures"))
 def predict_anomaly_skipped(spark, folder):
-    labels = predict_anomaly(spark, folder)
+    labels = predict_anomaly_best(spark, folder)
     return labels.agg(F.count(F.when(F.col("label") == "skipped", 1)).alias("skipped"),
                       F.count(F.when(F.col("label").isin("ANOMALY", "NORMAL"), 1)).alias("predicted"))
 
@@ -298,15 +319,84 @@ def load_model(spark, folder):
     return _agreement(spark, folder, trained, mo.load_model(spark, path), "score")
 
 
-@register("predict_roas")
+# ---- scoring: saved trees with given nodes, so that SQL can walk them too ----
+
+# (tree, node, feature, threshold, left, right, value) on scaled features
+ROAS_NODES = [
+    (0, 0, "cpc", 0.5, 1, 2, 0.0), (0, 1, "ctr", -0.2, 3, 4, 0.0), (0, 2, "ctr_rolling3", 0.1, 5, 6, 0.0),
+    (0, 3, None, 0.0, -1, -1, 0.8), (0, 4, None, 0.0, -1, -1, 1.1), (0, 5, None, 0.0, -1, -1, 1.9), (0, 6, None, 0.0, -1, -1, 3.25),
+    (1, 0, "spend_wow", 0.1, 1, 2, 0.0), (1, 1, None, 0.0, -1, -1, 0.12), (1, 2, "cpl", 0.4, 3, 4, 0.0),
+    (1, 3, None, 0.0, -1, -1, -0.31), (1, 4, None, 0.0, -1, -1, 0.07)]
+ANOMALY_NODES = [
+    (0, 0, "roas_wow", -0.3, 1, 2, 0.0), (0, 1, None, 0.0, -1, -1, 0.9), (0, 2, "ctr_wow", -0.25, 3, 4, 0.0),
+    (0, 3, None, 0.0, -1, -1, 0.4), (0, 4, None, 0.0, -1, -1, -0.6),
+    (1, 0, "roas", 0.0, 1, 2, 0.0), (1, 1, None, 0.0, -1, -1, 0.35), (1, 2, None, 0.0, -1, -1, -0.2)]
+GIVEN = {"roas": (ROAS_NODES, FORECAST_FEATURES, "number"), "is_anomaly": (ANOMALY_NODES, ANOMALY_FEATURES, "margin")}
+
+
+def _given_scaler(features: list[str]) -> pr.Scaler:
+    """Means and scales that differ by feature, as given as the nodes are."""
+    return pr.Scaler(tuple(features), tuple(0.05 * i for i in range(len(features))), tuple(1.0 + i / 4 for i in range(len(features))))
+
+
+def given_model(spark: SparkSession, folder: str, target: str) -> mo.Trained:
+    """The given trees, saved like any model and loaded again."""
+    def save() -> str:
+        nodes, features, kind = GIVEN[target]
+        rows = tuple((t, n, features.index(f) if f else -1, *rest) for t, n, f, *rest in nodes)
+        path = fresh_path(spark, "given")
+        mo.Trained("given_trees", NodeEnsemble(rows, kind, OUTPUTS[kind][1]), _given_scaler(features), target).save(spark, path)
+        return path
+    return mo.load_model(spark, once(spark, folder, f"given-{target}", save))
+
+
+def _walk_sql(target: str, rows: str) -> str:
+    """Every row of ``rows`` with ``total``: the trees as a table of nodes, joined once per level."""
+    nodes, features, _ = GIVEN[target]
+    scaler = _given_scaler(features)
+    values = ", ".join(f"({t}, {n}, {repr(f) if f else 'NULL'}, {c}::DOUBLE, {left}, {right}, {v}::DOUBLE)" for t, n, f, c, left, right, v in nodes)
+    value = "CASE feature " + " ".join(
+        f"WHEN '{c}' THEN (coalesce({c}, 0)::DOUBLE - {m!r}::DOUBLE) / {s!r}::DOUBLE" for c, m, s in zip(features, scaler.means, scaler.scales)) + " END"
+    step = f"CASE WHEN feature IS NULL THEN n.node WHEN {value} <= threshold THEN n.lo ELSE n.hi END"
+    tables = [f"nodes AS (SELECT * FROM (VALUES {values}) AS v(tree, node, feature, threshold, lo, hi, val))",
+              f"asked AS ({rows})", "w0 AS (SELECT asked.*, t.tree, 0 AS pos FROM asked CROSS JOIN (SELECT DISTINCT tree FROM nodes) t)"]
+    for level in (1, 2, 3):
+        tables.append(f"w{level} AS (SELECT w.* EXCLUDE (pos), {step} AS pos FROM w{level - 1} w JOIN nodes n ON n.tree = w.tree AND n.node = w.pos)")
+    return f"WITH {', '.join(tables)} SELECT w.* EXCLUDE (tree, pos), val FROM w3 w JOIN nodes n ON n.tree = w.tree AND n.node = w.pos"
+
+
+_key_list = ", ".join(KEY)
+
+
+@register("predict_roas", sql(f"""SELECT {_key_list}, {', '.join(r(c) + ' AS ' + c for c in FORECAST_FEATURES)}, predicted_roas, 'given_trees' AS model_used
+FROM (SELECT {_key_list}, {', '.join(FORECAST_FEATURES)}, {r('sum(val)', 4)} AS predicted_roas
+  FROM ({_walk_sql('roas', f"SELECT {_key_list}, {', '.join(FORECAST_FEATURES)} FROM features")}) GROUP BY ALL)""", "features"))
 def predict_roas(spark, folder):
+    """Requests scored by a saved model."""
     requests = _written_features(spark, folder).select(*KEY, *FORECAST_FEATURES)
-    return mo.predict_roas(forecast_comparison(spark, folder).best, requests)
+    return rounded(mo.predict_roas(given_model(spark, folder, "roas"), requests))
 
 
-@register("predict_anomaly")
+@register("predict_anomaly", sql(f"""SELECT {_key_list}, {', '.join(r(c) + ' AS ' + c for c in ANOMALY_FEATURES)},
+  CASE WHEN NOT whole THEN 'skipped' WHEN total > 0 THEN 'ANOMALY' ELSE 'NORMAL' END AS label,
+  CASE WHEN whole THEN total > 0 END AS is_flagged, 'given_trees' AS model_used
+FROM (SELECT {_key_list}, {', '.join(ANOMALY_FEATURES)}, sum(val) AS total,
+    roas IS NOT NULL AND roas_wow IS NOT NULL AND roas_rolling3 IS NOT NULL AS whole
+  FROM ({_walk_sql('is_anomaly', f"SELECT {_key_list}, {', '.join(ANOMALY_FEATURES)} FROM allfeatures")}) GROUP BY ALL)""", "allfeatures"))
 def predict_anomaly(spark, folder):
-    """All facts as requests, those without a previous period included: they are skipped."""
+    """All facts as requests to a saved model, those without a previous period included: they are skipped."""
+    requests = sales_features(spark, folder, keep_incomplete=True).select(*KEY, *ANOMALY_FEATURES)
+    return rounded(mo.predict_anomaly(given_model(spark, folder, "is_anomaly"), requests))
+
+
+@register("predict_roas_best")
+def predict_roas_best(spark, folder):
+    requests = _written_features(spark, folder).select(*KEY, *FORECAST_FEATURES)
+    return mo.predict_roas(forecast_comparison(spark, folder).best, requests)
+
+
+@register("predict_anomaly_best")
+def predict_anomaly_best(spark, folder):
     requests = sales_features(spark, folder, keep_incomplete=True).select(*KEY, *ANOMALY_FEATURES)
     return mo.predict_anomaly(anomaly_comparison(spark, folder).best, requests)
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from attriflux.functions.columns import half_even
 from attriflux.ml.isolation_forest import IsolationForest
 from attriflux.ml.metrics import classification_metrics, long_metrics, regression_metrics, select_best_model
+from attriflux.ml.node_table import NodeEnsemble
 from attriflux.ml.prepare import (
     SEED, Scaler, business_key, clean_features, split_random, split_stratified, test_part, train_part)
 from attriflux.schemas import ANOMALY_FEATURES, FORECAST_FEATURES
@@ -33,7 +34,7 @@ BOOSTING = {"maxIter": 100, "maxDepth": 4, "stepSize": 0.1, "seed": SEED}
 
 MODEL_CLASSES = {c.__name__: c for c in (
     LogisticRegressionModel, RandomForestClassificationModel, GBTClassificationModel,
-    LinearRegressionModel, GBTRegressionModel, IsolationForest)}
+    LinearRegressionModel, GBTRegressionModel, IsolationForest, NodeEnsemble)}
 
 
 @dataclass(frozen=True)
@@ -51,10 +52,12 @@ class Trained:
         if isinstance(self.model, IsolationForest):
             scaled = df.select(F.struct("*").alias("_row"), *self.scaler.columns())
             return self.model.transform(scaled).select("_row.*", "score", "prediction")
+        if isinstance(self.model, NodeEnsemble):
+            return self.model.transform(df, self.scaler.columns()).drop("score")
         return self.model.transform(self.scaler.assemble(df)).drop("features")
 
     def save(self, spark: SparkSession, path: str, metrics: DataFrame | None = None) -> None:
-        if isinstance(self.model, IsolationForest):
+        if isinstance(self.model, (IsolationForest, NodeEnsemble)):
             self.model.save(spark, f"{path}/model")
         else:
             self.model.write().overwrite().save(f"{path}/model")
@@ -69,7 +72,7 @@ class Trained:
 def load_model(spark: SparkSession, path: str) -> Trained:
     about = json.loads(spark.read.parquet(f"{path}/about").first()["about"])
     cls = MODEL_CLASSES[about["class"]]
-    model = cls.load(spark, f"{path}/model") if cls is IsolationForest else cls.load(f"{path}/model")
+    model = cls.load(spark, f"{path}/model") if cls in (IsolationForest, NodeEnsemble) else cls.load(f"{path}/model")
     scaler = Scaler(tuple(about["features"]), tuple(about["means"]), tuple(about["scales"]))
     return Trained(about["name"], model, scaler, about["target"])
 
