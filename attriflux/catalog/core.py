@@ -252,8 +252,8 @@ def engineer_features(spark, folder):
 
 @register("engineer_features_hot", _features_sql)
 def engineer_features_hot(spark, folder):
-    """The same facts dealt over many small partitions: the features do not depend on how rows lie."""
-    return rounded(fe.engineer_features(sales_facts(spark, folder).repartition(40, "c_date")))
+    """The same facts cut into even ranges, with the last rows before a range carried into it."""
+    return rounded(fe.engineer_features(sales_facts(spark, folder).repartition(40, "c_date"), in_ranges=True))
 
 
 @register("feature_run_stats", sql("""SELECT (SELECT count(*) FROM allfeatures) AS input_rows, count(*) AS output_rows,

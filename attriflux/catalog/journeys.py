@@ -36,9 +36,15 @@ _heavy_sql = sql(f"SELECT {columns_sql(_path_columns, ['revenue'])}, conv AS is_
 
 @register("build_journeys_hot", _heavy_sql)
 def build_journeys_hot(spark, folder):
-    """Two users hold all touches between them."""
+    """Two users hold all touches between them, and spread over the tasks."""
     heavy = raw_touches(spark, folder).withColumn("user_id", F.col("user_id") % 2)
-    return rounded(jo.build_journeys(heavy).select(*_path_columns, "is_converting_touch"))
+    return rounded(jo.build_journeys_in_ranges(heavy).select(*_path_columns, "is_converting_touch"))
+
+
+@register("build_journeys_ranges", _paths_sql)
+def build_journeys_ranges(spark, folder):
+    """All users, cut into even ranges."""
+    return rounded(jo.build_journeys_in_ranges(raw_touches(spark, folder)).select(*_path_columns, "is_converting_touch"))
 
 
 @register("enrich_channel", sql(f"""SELECT event_id, channel, funnel_position, {r('avg_cpc')} AS avg_cpc, trackable_without_cookies

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attriflux.functions.columns import ratio
+from attriflux.operators import ranges
 from attriflux.schemas import DERIVED_COLUMNS
 
 DROP_THRESHOLD = 0.8   # an anomaly is a fall below this share of the rolling mean
@@ -63,6 +64,17 @@ def add_windows(df: DataFrame) -> DataFrame:
     return _previous_and_rolling(df.filter(F.col("campaign_name").isNotNull()), "campaign_name")
 
 
+def add_windows_in_ranges(df: DataFrame) -> DataFrame:
+    """The same for campaigns of any size: rows are cut into even ranges, and the two rows before a range are carried into it.
+
+    One pass more over the rows than ``add_windows``, which sorts a campaign in one task.
+    """
+    order = order_columns(df)
+    rows = ranges.with_last_rows(ranges.cut_in_ranges(df, "campaign_name", order), "campaign_name", order, ROLLING_ROWS - 1)
+    out = _previous_and_rolling(rows, ranges.PART, "campaign_name")
+    return out.filter("NOT _carried").drop("_carried", ranges.PART)
+
+
 def add_changes(df: DataFrame) -> DataFrame:
     """Relative change against the campaign's previous row, whatever the gap in days."""
     def change(now, before):
@@ -85,10 +97,13 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop(subset=["roas_wow", "ctr_wow"])
 
 
-def engineer_features(df: DataFrame, keep_incomplete: bool = False) -> DataFrame:
-    """Facts to features: ratios, previous values, changes, rolling means, anomaly flag."""
+def engineer_features(df: DataFrame, keep_incomplete: bool = False, in_ranges: bool = False) -> DataFrame:
+    """Facts to features: ratios, previous values, changes, rolling means, anomaly flag.
+
+    ``in_ranges`` spreads single campaigns over tasks.
+    """
     facts = df.columns
-    out = add_changes(add_windows(add_ratios(df))).withColumn("is_anomaly", anomaly_rule())
+    out = add_changes((add_windows_in_ranges if in_ranges else add_windows)(add_ratios(df))).withColumn("is_anomaly", anomaly_rule())
     out = out if keep_incomplete else drop_incomplete(out)
     return out.select(*facts, *DERIVED_COLUMNS)
 

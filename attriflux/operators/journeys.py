@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from attriflux.operators import ranges
 from attriflux.schemas import TRACKING_METHODS
 
 # Channel, funnel position, average cost per click, seen without cookies.
@@ -61,6 +62,35 @@ def build_journeys(touches: DataFrame) -> DataFrame:
         F.when(converts, F.col("value")).when(~F.col("_converts"), F.lit(0.0)).alias("revenue"))
 
 
+def build_journeys_in_ranges(touches: DataFrame) -> DataFrame:
+    """``build_journeys`` for users of any size: touches are cut into even ranges by (user, time, id).
+
+    A range numbers its own touches. What it needs of others is carried: the
+    conversions before it, and for the paths that reach over its borders their
+    touches in earlier ranges, in all, and whether they convert.
+    """
+    order = ["ts", "event_id"]
+    columns = [c for c in touches.columns if c not in ("is_conversion", "value")]
+    rows = ranges.cut_in_ranges(touches, "user_id", order)
+    carried = ranges.carried_paths(rows, "user_id", order, F.col("is_conversion"))
+    in_order = Window.partitionBy(ranges.PART, "user_id").orderBy(*order)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_path", F.count(F.when(F.col("is_conversion"), 1)).over(earlier))
+    path = Window.partitionBy(ranges.PART, "user_id", "_path")
+    rows = rows.withColumns({
+        "_index": F.row_number().over(path.orderBy(*order)) - 1, "_n": F.count(F.lit(1)).over(path),
+        "_converts": F.coalesce(F.max("is_conversion").over(path), F.lit(False))})
+    rows = rows.join(F.broadcast(carried), [ranges.PART, "user_id"], "left")     # two rows a range
+    rows = rows.withColumn("path_id", F.col("_path") + F.coalesce("_path0", F.lit(0)))
+    piece = F.col("_pieces")[F.col("path_id")]
+    converts = F.col("is_conversion")
+    finished = F.coalesce(piece["finished"], F.col("_converts"))
+    return rows.select(
+        *columns, "path_id", (F.col("_index") + F.coalesce(piece["earlier"], F.lit(0))).cast("bigint").alias("touch_index"),
+        F.coalesce(piece["all"], F.col("_n")).alias("n_touches"), converts.alias("is_converting_touch"),
+        F.when(converts, F.col("value")).when(~finished, F.lit(0.0)).alias("revenue"))
+
+
 def cross_device_flag() -> Column:
     """The user switches device and the touch lies in the second half of its path."""
     half = F.floor(F.col("n_touches") / 2)
