@@ -194,6 +194,38 @@ def save_combined(spark, folder):
     return rounded(spark.read.parquet(path), 4)
 
 
+# Every so many orders one value of a source is spoilt; SQL finds the rows by the same rule.
+SPOILT = {"mark_spent": ("n/a", 11), "clicks": ("12x", 13), "c_date": ("soon", 17), "revenue": ("1e999x", 19)}
+_spoilt = lambda c: f"(leads * 7 + orders) % {SPOILT[c][1]} = 0"
+_kept = " AND ".join(f"NOT {_spoilt(c)}" for c in SPOILT)
+
+
+def spoilt_facts(spark: SparkSession, folder: str) -> DataFrame:
+    df = sales_facts(spark, folder)
+    return df.withColumns({c: F.when(F.expr(_spoilt(c)), F.lit(text)).otherwise(F.col(c).cast("string")) for c, (text, _) in SPOILT.items()})
+
+
+@register("rejected_rows", sql(f"""SELECT 'shop' AS source, campaign_name, c AS "column", raw, count(*) AS n_rejected FROM (
+  {' UNION ALL '.join(f"SELECT campaign_name, '{c}' AS c, '{text}' AS raw FROM sales WHERE {_spoilt(c)}" for c, (text, _) in SPOILT.items())})
+GROUP BY ALL""", "sales"))
+def rejected_rows(spark, folder):
+    """What of a source cannot be read, by campaign and column; other sources do not suffer."""
+    frames = {"shop": spoilt_facts(spark, folder), "web": event_facts(spark, folder)}
+    _, rejected, errors = fs.combine_checked(spark, frames)
+    assert not errors
+    return rejected.groupBy("source", "campaign_name", "column", "raw").agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
+@register("combine_checked", sql(f"""SELECT {_unified_list} FROM (
+  (SELECT 'shop' AS source, {', '.join(c for c in UNIFIED_COLUMNS if c != 'source')} FROM sales WHERE {_kept})
+  UNION ALL (SELECT 'web' AS source, {', '.join(c for c in UNIFIED_COLUMNS if c != 'source')} FROM webfacts WHERE c_date >= DATE '2024-01-01'))
+WHERE c_date >= DATE '1900-01-01'""", "sales", "webfacts"))
+def combine_checked(spark, folder):
+    """The rows that can be read of the same sources."""
+    frames = {"shop": spoilt_facts(spark, folder), "web": event_facts(spark, folder).filter("c_date >= DATE '2024-01-01'")}
+    return rounded(fs.combine_checked(spark, frames, start="1900-01-01", end="2999-12-31")[0], 4)
+
+
 @register("source_summary", sql(f"""SELECT source, count(*) AS n_rows, count(DISTINCT campaign_name) AS n_campaigns,
   {r('sum(mark_spent)', 2)} AS total_spend, {r('sum(revenue)', 2)} AS total_revenue,
   min(c_date) AS start_date, max(c_date) AS end_date,

@@ -16,29 +16,33 @@ from attriflux.operators import attribution as attr
 from attriflux.operators import tracking
 from attriflux.operators.features import engineer_features
 from attriflux.operators.journeys import touchpoints
-from attriflux.sources.facts import combine_sources, load_campaigns, save_table, source_summary, unread_dates
+from attriflux.sources.facts import combine_checked, load_campaigns, save_table, source_summary
 
 
 def run_collection(frames: Mapping[str, DataFrame], path: str, start: str | None = None,
-                   end: str | None = None) -> tuple[DataFrame | None, list[dict[str, str]]]:
+                   end: str | None = None, spark: SparkSession | None = None) -> tuple[DataFrame | None, list[dict[str, str]]]:
     """Combine all sources, save them, and return the per-source summary and the errors.
 
-    Without dates, the last 30 days up to today are collected. The summary's
-    ``unread_dates`` counts rows of the source that no range keeps because
-    their date cannot be read; a source of which nothing else is left has a row too.
+    Without dates, the last 30 days up to today are collected. Rows with a value
+    that cannot be read are left out and saved at ``path``-rejected (source, column, raw text); the
+    summary counts them: ``unread_dates`` and ``rejected_values``. A source of which nothing else is left has a row too.
     """
     today = dt.date.today()
-    combined, errors = combine_sources(
-        frames, start or str(today - dt.timedelta(days=30)), end or str(today), ordered=False)
+    spark = spark or SparkSession.getActiveSession()
+    combined, rejected, errors = combine_checked(
+        spark, frames, start or str(today - dt.timedelta(days=30)), end or str(today))
     if combined is None:
         return None, errors
     save_table(combined, path)
-    summary = source_summary(combined.sparkSession.read.parquet(path))
-    failed = {e["connector"] for e in errors}
-    unread = unread_dates({name: frame for name, frame in frames.items() if name not in failed})
-    summary = summary.join(unread.withColumnRenamed("source", "_name"), F.col("source") == F.col("_name"), "full")
+    save_table(rejected, f"{path}-rejected")
+    summary = source_summary(spark.read.parquet(path))
+    bad = spark.read.schema(rejected.schema).parquet(f"{path}-rejected").groupBy(F.col("source").alias("_name")).agg(
+        F.count(F.when(F.col("column") == "c_date", 1)).alias("unread_dates"), F.count(F.lit(1)).alias("rejected_values"))
+    names = spark.createDataFrame([(n,) for n in frames if n not in {e["connector"] for e in errors}], "_name string")
+    bad = names.join(bad, "_name", "left").fillna(0, ["unread_dates", "rejected_values"])
+    summary = summary.join(F.broadcast(bad), F.col("source") == F.col("_name"), "full")        # a row per source
     named = F.coalesce("source", "_name").alias("source")
-    summary = summary.filter("source IS NOT NULL OR unread_dates > 0")
+    summary = summary.filter("source IS NOT NULL OR rejected_values > 0")
     return summary.select(named, *[c for c in summary.columns if c not in ("source", "_name")]), errors
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from attriflux.functions.columns import ratio
 from attriflux.schemas import FACT_TYPES, NUMERIC_COLUMNS, UNIFIED_COLUMNS
+from attriflux.session import fresh_path
 
 
 def standardise_columns(df: DataFrame) -> DataFrame:
@@ -93,24 +94,65 @@ def fetch_date_range(df: DataFrame, start: str | dt.date | None = None,
     return df.filter(F.col("c_date").between(F.lit(start), F.lit(end)))
 
 
-def validate_unified(df: DataFrame, source_name: str) -> DataFrame:
-    """Enforce the unified contract: columns and order, date type, source name, missing numbers as 0."""
+REJECTS = "_rejects"     # column and raw text of every value of a row that cannot be read
+
+
+def is_blank(text: Column) -> Column:
+    """Nothing was given: null, white space or nan."""
+    return text.isNull() | (F.trim(text) == "") | (F.lower(F.trim(text)) == "nan")
+
+
+def rejects(checks: Mapping[str, tuple[Column, Column]]) -> Column:
+    """Of each (raw value, value read) those that were given and could not be read."""
+    found = [F.when(~is_blank(raw.cast("string")) & value.isNull(), F.struct(F.lit(name).alias("column"), raw.cast("string").alias("raw")))
+             for name, (raw, value) in checks.items()]
+    return F.filter(F.array(*found), lambda r: r.isNotNull())
+
+
+def check_unified(df: DataFrame, source_name: str) -> DataFrame:
+    """All rows under the unified contract, with ``_rejects``: empty, or what of the row cannot be read.
+
+    A normaliser's own ``_rejects`` are kept. Numbers and dates that cannot be read are null here.
+    """
     missing = [c for c in UNIFIED_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(
             f"Connector '{source_name}' is missing columns: {missing}. Required: {UNIFIED_COLUMNS}")
 
-    def column(name):
-        if name == "source":
-            return F.lit(source_name)
+    def read(name: str) -> Column:
         if name == "c_date":
             return F.col(name).try_cast("date")
+        number = F.col(name).try_cast("double")
+        return F.when(~F.isnan(number), number).try_cast(FACT_TYPES[name])
+
+    values = {c: read(c) for c in ["c_date", *NUMERIC_COLUMNS]}
+    found = rejects({c: (F.col(c), v) for c, v in values.items()})
+    if REJECTS in df.columns:
+        found = F.concat(F.col(REJECTS), found)
+
+    def column(name: str) -> Column:
+        if name == "source":
+            return F.lit(source_name)
         if name in NUMERIC_COLUMNS:
-            number = F.col(name).cast("double")
-            return F.coalesce(F.when(~F.isnan(number), number), F.lit(0.0)).cast(FACT_TYPES[name])
-        return F.col(name)
+            zero = F.lit(0).cast(FACT_TYPES[name])
+            return F.when(is_blank(F.col(name).cast("string")), zero).otherwise(values[name])
+        return values.get(name, F.col(name))
 
-    return df.select([column(c).alias(c) for c in UNIFIED_COLUMNS])
+    return df.select([column(c).alias(c) for c in UNIFIED_COLUMNS] + [found.alias(REJECTS)])
+
+
+def validate_unified(df: DataFrame, source_name: str) -> DataFrame:
+    """Enforce the unified contract: columns and order, date type, source name, missing numbers as 0.
+
+    Rows with a number or date that cannot be read are left out; ``combine_checked`` tells which.
+    """
+    return check_unified(df, source_name).filter(F.size(REJECTS) == 0).drop(REJECTS)
+
+
+def rejected_values(checked: DataFrame) -> DataFrame:
+    """(source, campaign_name, c_date, column, raw): every value that cannot be read, with what can be of its row."""
+    return checked.filter(F.size(REJECTS) > 0).select(
+        "source", "campaign_name", "c_date", F.explode(REJECTS).alias("r")).select("source", "campaign_name", "c_date", "r.*")
 
 
 def unread_dates(frames: Mapping[str, DataFrame | Callable[[], DataFrame]]) -> DataFrame | None:
@@ -154,6 +196,39 @@ def combine_sources(frames: Mapping[str, DataFrame | Callable[[], DataFrame]], s
     return stacked.orderBy("source", "campaign_name", "c_date") if ordered else stacked, errors
 
 
+def combine_checked(spark: SparkSession, frames: Mapping[str, DataFrame | Callable[[], DataFrame]], start: str | None = None,
+                    end: str | None = None) -> tuple[DataFrame | None, DataFrame | None, list[dict[str, str]]]:
+    """Accepted facts, rejected values, and errors of whole sources. Every source is read once.
+
+    Like ``combine_sources``, but one bad row costs only itself and is told. The
+    checked rows are written to the shared folder, accepted and rejected ones
+    apart; a date range is applied to the accepted ones.
+    """
+    stacked, errors = None, []
+    for name, frame in frames.items():
+        try:
+            part = check_unified(frame() if callable(frame) else frame, name)
+        except Exception as exc:  # one bad source must not stop the others
+            errors.append({"connector": name, "error": str(exc)})
+            continue
+        stacked = part if stacked is None else stacked.unionByName(part)
+    if stacked is None:
+        return None, None, errors
+    path = fresh_path(spark, "checked")
+    stacked = stacked.withColumn("_accepted", F.size(REJECTS) == 0)
+    stacked.write.partitionBy("_accepted").parquet(path)
+    checked = spark.read.schema(stacked.schema).parquet(path)
+    accepted = checked.filter("_accepted").select(UNIFIED_COLUMNS)
+    if start is not None or end is not None:
+        accepted = fetch_date_range(accepted, start, end)
+    return accepted, rejected_values(checked.filter("NOT _accepted")), errors
+
+
+def rejected_counts(rejected: DataFrame) -> DataFrame:
+    """(source, column, n_rejected)."""
+    return rejected.groupBy("source", "column").agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
 def source_summary(df: DataFrame) -> DataFrame:
     """Rows, campaigns, totals, overall ROAS (only with spend) and date range of each source.
 

@@ -136,3 +136,45 @@ def test_collection_counts_unread_dates(spark, raw_facts, tmp_path):
     summary, errors = run_collection({"a": recent, "b": broken, "c": nothing}, str(tmp_path / "c"))
     rows = {r.source: r for r in summary.collect()}
     assert errors == [] and {k: (r.n_rows, r.unread_dates) for k, r in rows.items()} == {"a": (6, 0), "b": (3, 3), "c": (None, 6)}
+
+
+def test_a_bad_number_costs_one_row_only(spark, raw_facts, tmp_path):
+    texts = raw_facts.withColumns({c: F.col(c).cast("string") for c in ("mark_spent", "clicks", "c_date", "revenue")})
+    row = F.col("campaign_name") == "google_hot"
+    bad = texts.withColumn("mark_spent", F.when(row & (F.col("c_date") == "2024-01-01"), "n/a").otherwise(F.col("mark_spent"))) \
+        .withColumn("clicks", F.when(row & (F.col("c_date") < "2024-01-09"), "many").otherwise(F.col("clicks"))) \
+        .withColumn("revenue", F.when(F.col("campaign_name") == "facebook_tier1", " NaN ").otherwise(F.col("revenue"))) \
+        .withColumn("orders", F.when(row & (F.col("c_date") == "2024-01-15"), F.lit(None)).otherwise(F.col("orders")))
+    accepted, rejected, errors = fs.combine_checked(spark, {"a": bad, "b": raw_facts, "c": raw_facts.drop("clicks")})
+    assert [e["connector"] for e in errors] == ["c"] and accepted.columns == UNIFIED_COLUMNS
+    assert {r.source: r["count"] for r in accepted.groupBy("source").count().collect()} == {"a": 4, "b": 6}
+    assert {r.revenue for r in accepted.filter("source = 'a' AND campaign_name = 'facebook_tier1'").collect()} == {0.0}
+    assert {r.orders for r in accepted.filter("source = 'a' AND campaign_name = 'google_hot'").collect()} == {0}
+    assert sorted((r.source, str(r.c_date), r.column, r.raw) for r in rejected.collect()) == [
+        ("a", "2024-01-01", "clicks", "many"), ("a", "2024-01-01", "mark_spent", "n/a"), ("a", "2024-01-08", "clicks", "many")]
+    assert {(r.column, r.n_rejected) for r in fs.rejected_counts(rejected).collect()} == {("clicks", 2), ("mark_spent", 1)}
+    assert fs.validate_unified(bad, "a").count() == 4 and fs.combine_sources({"a": bad, "b": raw_facts})[0].count() == 10
+    assert fs.combine_checked(spark, {"c": raw_facts.drop("clicks")})[0] is None
+
+
+def test_infinite_and_oversized_numbers_are_rejected(spark, raw_facts):
+    huge = raw_facts.withColumn("clicks", F.lit("1e30")).withColumn("impressions", F.lit("5.0"))
+    accepted, rejected, _ = fs.combine_checked(spark, {"a": huge})
+    assert accepted.count() == 0 and {(r.column, r.raw) for r in rejected.collect()} == {("clicks", "1e30")}
+
+
+def test_normalisers_tell_what_they_cannot_read(spark):
+    good = '{"campaign_name":"c","date_start":"2024-01-01","impressions":"10","clicks":"1","spend":"2.5","actions":[],"action_values":[]}'
+    rows = [good, good.replace('"2.5"', '"unknown"'), good.replace('"10"', '"ten"').replace("2024-01-01", "someday")]
+    raw = spark.createDataFrame([(r,) for r in rows], "payload string")
+    assert pf.normalise_meta_ads(raw).count() == 1
+    accepted, rejected, errors = fs.combine_checked(spark, {"meta_ads": pf.normalise_meta_ads(raw, keep_rejects=True)})
+    assert accepted.count() == 1 and not errors
+    assert sorted((r.column, r.raw) for r in rejected.collect()) == [("c_date", "someday"), ("impressions", "ten"), ("mark_spent", "unknown")]
+
+
+def test_collection_saves_what_it_rejects(spark, raw_facts, tmp_path):
+    bad = raw_facts.withColumn("leads", F.when(F.col("campaign_name") == "google_hot", "?").otherwise(F.col("leads").cast("string")))
+    summary, _ = run_collection({"a": bad, "b": raw_facts}, f"{tmp_path}/out", "2024-01-01", "2024-12-31", spark)
+    assert {r.source: (r.n_rows, r.rejected_values) for r in summary.collect()} == {"a": (3, 3), "b": (6, 0)}
+    assert spark.read.parquet(f"{tmp_path}/out-rejected").count() == 3
