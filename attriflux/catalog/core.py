@@ -150,6 +150,21 @@ def load_features(spark, folder):
     return rounded(fs.load_features(spark, path).filter("is_anomaly = 1").select(*KEY, "roas", "is_anomaly"))
 
 
+@register("save_range", sql(f"""SELECT {columns_sql(FACT_COLUMNS, MONEY, 4)} FROM (
+  SELECT * FROM sales WHERE c_date < DATE '1995-01-01' OR c_date > DATE '1995-06-30'
+  UNION ALL SELECT * REPLACE (clicks + 1 AS clicks) FROM sales WHERE c_date BETWEEN DATE '1995-01-01' AND DATE '1995-06-30' AND leads % 2 = 0)
+WHERE c_date BETWEEN DATE '1994-10-01' AND DATE '1995-09-30'""", "sales"))
+def save_range(spark, folder):
+    """A year saved by day, half of it replaced twice, and three quarters of the whole read back."""
+    path, facts = fresh_path(spark, "by-day"), sales_facts(spark, folder)
+    fs.save_range(facts, path, "1994-07-01", "1995-12-31")
+    newer = facts.filter("leads % 2 = 0").withColumn("clicks", F.col("clicks") + 1)
+    for _ in range(2):
+        fs.save_range(newer, path, "1995-01-01", "1995-06-30")
+    out = fs.load_range(spark, path, facts.schema, "1994-10-01", "1995-09-30")
+    return rounded(out.select(FACT_COLUMNS), 4)
+
+
 @register("fetch_date_range", sql(
     f"SELECT {columns_sql(FACT_COLUMNS, MONEY, 4)} FROM webfacts WHERE c_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'",
     "webfacts"))

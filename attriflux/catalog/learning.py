@@ -263,12 +263,12 @@ def _slopes(trained: mo.Trained, rows: DataFrame, error: F.Column, penalty: dict
         for c in ["intercept", *names]])))
 
 
-@register("isolation_forest_share", sql("SELECT round_even(0.3 * 100, 0) / 100 AS flagged_share, count(*) AS n_rows FROM stratified WHERE split = 'train'", "stratified"))
+@register("isolation_forest_share", sql("SELECT CAST(ceil(0.3::DOUBLE * count(*)) AS BIGINT) AS flagged, count(*) AS n_rows FROM stratified WHERE split = 'train'", "stratified"))
 def isolation_forest_share(spark, folder):
-    """Share of the training rows above the threshold."""
+    """Training rows above the threshold: the share that was asked for, exactly."""
     rows = pr.train_part(pr.split_stratified(_written_features(spark, folder), "is_anomaly"))
     scored = fitted(spark, folder, "anomaly", "isolation_forest").transform(rows)
-    return scored.agg(half_even(F.avg("prediction"), 2).alias("flagged_share"), F.count(F.lit(1)).alias("n_rows"))
+    return scored.agg(F.sum("prediction").cast("bigint").alias("flagged"), F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("predict_anomaly_skipped", sql("""SELECT count(*) FILTER (WHERE roas IS NULL OR roas_wow IS NULL OR roas_rolling3 IS NULL) AS skipped,

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import factorial
+from itertools import combinations
+from math import comb, factorial
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from attriflux.ml.prepare import business_key, clean_features
 from attriflux.session import fresh_path
 
 BACKGROUND_ROWS = 50
+EXACT_FEATURES = 12         # up to so many features every coalition is taken, 4,096 at most
+COALITIONS = 4096           # sampled coalitions of more features
 BLOCK_CELLS = 1 << 18       # numbers of an array that a task works on at once: it stays in the processor's cache
 KERNEL_CELLS = 1 << 21      # numbers of the mixed rows that one prediction call gets
 BLOCK_ROWS = 256            # rows that meet a block of leaves
@@ -166,13 +169,64 @@ def coalition_weights(k: int) -> np.ndarray:
     return np.where(masks == 1, orders[np.maximum(sizes - 1, 0)], -orders[np.minimum(sizes, k - 1)])
 
 
-def kernel_shap_values(predict: Callable[[np.ndarray], np.ndarray], background: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """All 2^k coalitions: features outside a coalition take the background rows' values."""
+def sampled_coalitions(k: int, samples: int = COALITIONS, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Coalitions (rows of 0 and 1, the empty and the full one last) and the k x n matrix that estimates Shapley values of them.
+
+    Values are the weighted least squares fit of additive contributions, held to
+    the sum that is to be explained. Sizes whose coalitions are few enough are listed whole, from the
+    outermost inwards; of the others coalitions are drawn by their weight,
+    each with its complement. Exact for additive functions; else the error falls with the square root of ``samples``.
+    """
+    draws = np.random.default_rng([seed, k])
+    mass = {s: (k - 1) / (s * (k - s)) for s in range(1, k)}           # kernel weight of all coalitions of a size
+    masks, weights, left = [], [], samples
+    size = 1
+    while size <= k - size:
+        sides = {size, k - size}
+        if comb(k, size) * len(sides) > left:
+            break
+        for members in combinations(range(k), size):
+            row = np.zeros(k)
+            row[list(members)] = 1
+            for mask in ([row, 1 - row] if len(sides) == 2 else [row]):
+                masks.append(mask)
+                weights.append(mass[size] / comb(k, size))
+        left -= comb(k, size) * len(sides)
+        size += 1
+    rest = list(range(size, k - size + 1))
+    if rest and left >= 2:
+        share = np.array([mass[s] for s in rest])
+        sizes = draws.choice(rest, size=left // 2, p=share / share.sum())
+        for s in sizes:
+            row = np.zeros(k)
+            row[draws.permutation(k)[:s]] = 1
+            masks += [row, 1 - row]
+            weights += [share.sum() / (2 * len(sizes))] * 2
+    z, w = np.array(masks), np.array(weights)
+    # the last contribution is what the others leave of the sum
+    x = z[:, :-1] - z[:, -1:]
+    solve = np.linalg.lstsq((x * w[:, None]).T @ x, (x * w[:, None]).T, rcond=None)[0]
+    first = np.column_stack([solve, -(solve @ (1 - z[:, -1])), -(solve @ z[:, -1])])   # of v(S), then v(none), v(all)
+    last = -first.sum(axis=0)
+    last[-2:] += (-1, 1)
+    return np.vstack([z, np.zeros(k), np.ones(k)]).astype(bool), np.vstack([first, last])
+
+
+def coalitions(k: int) -> tuple[np.ndarray, np.ndarray]:
+    """All coalitions up to ``EXACT_FEATURES`` features, sampled ones beyond, and what makes Shapley values of theirs."""
+    if k > EXACT_FEATURES:
+        return sampled_coalitions(k)
+    return ((np.arange(2 ** k)[:, None] >> np.arange(k)[None, :]) & 1).astype(bool), coalition_weights(k)
+
+
+def kernel_shap_values(predict: Callable[[np.ndarray], np.ndarray], background: np.ndarray, rows: np.ndarray,
+                       chosen: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Features outside a coalition take the background rows' values."""
     k = rows.shape[1]
-    inside = ((np.arange(2 ** k)[:, None] >> np.arange(k)[None, :]) & 1).astype(bool)[:, None, :]
-    weights = coalition_weights(k)
+    masks, weights = chosen or coalitions(k)
+    inside = masks[:, None, :]
     out = np.empty(rows.shape)
-    block = max(1, KERNEL_CELLS // (background.size << k))
+    block = max(1, KERNEL_CELLS // (background.size * len(masks)))
     for at in range(0, len(rows), block):
         mixed = np.where(inside, rows[at:at + block, None, None, :], background)
         scores = predict(mixed.reshape(-1, k)).reshape(*mixed.shape[:3])
@@ -190,15 +244,17 @@ def shap_kernel(df: DataFrame, features: list[str], predict: Callable[[np.ndarra
                 background: np.ndarray | None = None, out: str = "shap_values") -> DataFrame:
     """SHAP values of any vectorised prediction function, against a background of at most 50 rows.
 
-    A row costs 2^features x background predictions, so this is for models
-    that neither ``shap_linear`` nor ``shap_tree`` can explain.
+    A row costs coalitions x background predictions, so this is for models
+    that neither ``shap_linear`` nor ``shap_tree`` can explain. Up to
+    ``EXACT_FEATURES`` features all coalitions are taken, beyond them ``COALITIONS``.
     """
     background = background_sample(df, features) if background is None else background
-    sent = df.sparkSession.sparkContext.broadcast(background)
+    sent = df.sparkSession.sparkContext.broadcast((background, coalitions(len(features))))
 
     @F.arrow_udf("array<double>")
     def values(rows: pa.Array) -> pa.Array:
-        return from_matrix(kernel_shap_values(predict, sent.value, to_matrix(rows, len(features))))
+        known, chosen = sent.value
+        return from_matrix(kernel_shap_values(predict, known, to_matrix(rows, len(features)), chosen))
 
     return df.withColumn(out, values(F.array(*[F.col(c).cast("double") for c in features])))
 

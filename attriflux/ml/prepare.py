@@ -42,7 +42,7 @@ def _bucket_of_rank(counts: DataFrame, rank: Column) -> DataFrame:
     return found.select("_class", "_in", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_rank"))
 
 
-def _cuts(drawn: DataFrame, share: float) -> DataFrame:
+def cuts(drawn: DataFrame, share: float) -> DataFrame:
     """(_class, _cut): the draw of the last of the first ceil(share x rows) rows of each class, exactly.
 
     Rows are counted per class and bucket of their draw, the rows of the bucket
@@ -70,8 +70,8 @@ def split_stratified(df: DataFrame, target: str, test_share: float = TEST_SHARE,
     Of every class the first ceil(test_share x rows) draws are the test part.
     """
     drawn = df.withColumn("_draw", _draw(df, seed))
-    cuts = _cuts(drawn.select(F.col(target).alias("_class"), "_draw"), test_share)
-    joined = drawn.join(F.broadcast(cuts), F.col(target).eqNullSafe(F.col("_class")), "left")     # one row per class
+    last = cuts(drawn.select(F.col(target).alias("_class"), "_draw"), test_share)
+    joined = drawn.join(F.broadcast(last), F.col(target).eqNullSafe(F.col("_class")), "left")     # one row per class
     return joined.withColumn("split", F.when(F.col("_draw") <= F.col("_cut"), "test").otherwise("train")).select(
         *df.columns, "split")
 

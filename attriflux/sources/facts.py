@@ -80,6 +80,43 @@ def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: lis
     writer.save(path)
 
 
+DAY = "day"              # partition column of tables that are replaced by range
+
+
+def save_range(df: DataFrame, path: str, start: str | dt.date, end: str | dt.date, date: str = "c_date") -> None:
+    """Put the rows of [start, end], both included, in the place of what the table holds of these days; other days stay.
+
+    The table has a folder per day. A day of the range of which there are no rows
+    any more is removed. Saving the same range again changes nothing. Rows
+    outside of the range and without a date are not saved.
+    """
+    first, last = (dt.date.fromisoformat(d) if isinstance(d, str) else d for d in (start, end))
+    spark = df.sparkSession
+    rows = df.filter(F.col(date).between(F.lit(first), F.lit(last))).withColumn(DAY, F.col(date))
+    staged = fresh_path(spark, "range")
+    rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(staged)      # the input may be the table that is replaced
+    staged_rows = spark.read.schema(rows.schema).parquet(staged)
+    days = {r[0] for r in staged_rows.select(DAY).distinct().collect()}     # days of the range at most
+    writer = staged_rows.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(DAY).parquet(path)
+    for n in range((last - first).days + 1):
+        gone = first + dt.timedelta(days=n)
+        if gone not in days:
+            _remove(spark, f"{path}/{DAY}={gone.isoformat()}")
+
+
+def load_range(spark: SparkSession, path: str, schema: T.StructType, start: str | dt.date, end: str | dt.date) -> DataFrame:
+    """The rows of [start, end] of a table saved by range: folders of other days are not read."""
+    known = T.StructType([f for f in schema.fields if f.name != DAY] + [T.StructField(DAY, T.DateType())])
+    first, last = (dt.date.fromisoformat(d) if isinstance(d, str) else d for d in (start, end))
+    return spark.read.schema(known).parquet(path).filter(F.col(DAY).between(F.lit(first), F.lit(last))).drop(DAY)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def load_features(spark: SparkSession, path: str) -> DataFrame:
     """Read a feature table written by ``save_table``."""
     return spark.read.parquet(path)

@@ -178,3 +178,22 @@ def test_collection_saves_what_it_rejects(spark, raw_facts, tmp_path):
     summary, _ = run_collection({"a": bad, "b": raw_facts}, f"{tmp_path}/out", "2024-01-01", "2024-12-31", spark)
     assert {r.source: (r.n_rows, r.rejected_values) for r in summary.collect()} == {"a": (3, 3), "b": (6, 0)}
     assert spark.read.parquet(f"{tmp_path}/out-rejected").count() == 3
+
+
+def test_a_range_is_replaced_and_others_stay(spark, raw_facts, tmp_path):
+    path = str(tmp_path / "facts")
+    facts = raw_facts.select(UNIFIED_COLUMNS)
+    fs.save_range(facts, path, "2024-01-01", "2024-01-31")
+    before = sorted(fs.load_range(spark, path, facts.schema, "2024-01-01", "2024-01-31").collect())
+    assert before == sorted(facts.collect())
+    newer = facts.filter("campaign_name = 'google_hot'").withColumn("clicks", F.lit(7).cast("bigint"))
+    for _ in range(2):                                      # the 15th has rows no more after the filter below
+        fs.save_range(newer.filter("c_date < DATE '2024-01-15'"), path, "2024-01-08", "2024-01-20")
+        now = sorted(fs.load_range(spark, path, facts.schema, "2024-01-01", "2024-01-31").collect())
+        assert [(str(r.c_date), r.campaign_name, r.clicks) for r in sorted(now, key=lambda r: (r.c_date, r.campaign_name))] == [
+            ("2024-01-01", "facebook_tier1", 50), ("2024-01-01", "google_hot", 120), ("2024-01-08", "google_hot", 7)]
+    plan = fs.load_range(spark, path, facts.schema, "2024-01-08", "2024-01-09")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    whole = fs.load_range(spark, path, facts.schema, "2024-01-01", "2024-01-31")
+    fs.save_range(whole.withColumn("clicks", F.col("clicks") * 2), path, "2024-01-01", "2024-01-31")     # from the table itself
+    assert sorted(r.clicks for r in fs.load_range(spark, path, facts.schema, "2024-01-01", "2024-01-31").collect()) == [14, 100, 240]
