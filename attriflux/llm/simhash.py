@@ -2,31 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attriflux.llm.components import components
 from attriflux.llm.shared import row_keys, stored, text_column
 
 SHINGLE = 3                 # words of a shingle of the contract's fingerprints
-PIPELINE_SHINGLE = 5        # words of a shingle where the pipeline decides
 SEED = 42
 MOST_BITS = 3               # fingerprints with at most so many differing bits are linked
 RUN = 256                   # members of a signature that are compared with each other; larger ones are refined
 
 
-WIDE = 1024                 # bits of the fingerprints that rule out pairs that are far apart
-MOST_WIDE_BITS = 260        # of them that may differ in a candidate; at a similarity of 0.8 it is 155 on average, give or take 12, 192 for tiny sets
-LEAST_SIMILAR = (4, 5)      # share of the shingles of two texts that both have, from which they are similar
-SAMPLE_TEXTS = 8192         # texts whose shingles are counted, to tell common ones
-MOST_COMMON = 65536         # shingles that are known to be common, those with the highest counts
-
 
 def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
     """Majority bits of the hashes of all shingles, as a signed 64-bit number. No words: 0."""
@@ -216,8 +209,11 @@ def _with_components(hashed: DataFrame) -> DataFrame:
     return hashed.join(labels, "fp")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp, n_words and component_id (the smallest doc_id reachable over links) of every row.
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text: str = "text",
+                    more: dict[str, Column] | None = None) -> DataFrame:
+    """doc_id, ``more`` columns, fp, n_words, root (a fingerprint that names the component) and component_id of every row.
+
+    component_id is the smallest doc_id reachable over links.
 
     Texts of equal fingerprints meet first, so a group of copies counts once
     however large it is. Null texts have fingerprint 0 like texts without
@@ -225,262 +221,33 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "d
     another id. Further columns of the table are not read. An empty table
     gives no rows.
     """
-    hashed = stored(fingerprints(docs, shingle, id_column, text), "fingerprints")
-    return _with_components(hashed).select("doc_id", "fp", "n_words", "component_id")
+    hashed = stored(fingerprints(docs, shingle, id_column, text, more), "fingerprints")
+    return _with_components(hashed).select("doc_id", *(more or {}), "fp", "n_words", "root", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-# ---- similar documents: candidates share one of their rarest shingles; shingle sets decide ----
-
-def mixed_hashes(words: list[bytes], shingle: int) -> np.ndarray:
-    """A 64-bit hash of every shingle, combined from hashes of its words. Fewer words: one for the whole sequence."""
-    digest = xxhash.xxh3_64_digest
-    hashes = np.frombuffer(b"".join([digest(w) for w in words]), np.uint64)
-    size = min(shingle, len(words))
-    out = np.zeros(len(words) - size + 1, np.uint64)
-    for i in range(size):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out += hashes[i:i + len(out)]
-    return out
-
-
-def shingle_set(words: list[bytes], shingle: int = PIPELINE_SHINGLE) -> np.ndarray:
-    """The distinct shingles of a text as sorted hashes. No words: none."""
-    return np.unique(mixed_hashes(words, shingle)) if words else np.zeros(0, np.uint64)
-
-
-def wide_bits(hashes: np.ndarray) -> np.ndarray:
-    """``WIDE`` majority bits of hashes. No hashes: no bits."""
-    total = np.zeros(WIDE, np.int64)
-    odd = np.random.Generator(np.random.PCG64(3)).integers(1 << 63, dtype=np.uint64, size=WIDE // 64) | np.uint64(1)
-    for at in range(0, len(hashes), 255):               # counts of a block fit into bytes
-        part = hashes[at:at + 255, None] ^ odd
-        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
-            part ^= part >> np.uint64(shift)
-            part *= np.uint64(factor)
-        part ^= part >> np.uint64(33)
-        total += np.unpackbits(part.view(np.uint8), axis=1).sum(0, dtype=np.uint8)
-    return (2 * total > len(hashes)).astype(np.uint8)
-
-
-def wide_fingerprint(words: list[bytes], shingle: int = PIPELINE_SHINGLE) -> np.ndarray:
-    """``WIDE`` majority bits of the hashes of all distinct shingles. No words: no bits."""
-    return wide_bits(shingle_set(words, shingle))
-
-
-def prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The rarest hashes of a set, so many that two similar sets share one of them.
-
-    Similar sets share at least ``LEAST_SIMILAR`` of the larger one. All sets
-    are ordered alike (by count if common, then by hash), so of each the first
-    ones that are left over, and one more, do. Counts only decide how often
-    others meet, hence those of a sample will do.
-    """
-    part, whole = LEAST_SIMILAR
-    size = len(hashes) - -(-part * len(hashes) // whole) + 1 if len(hashes) else 0
-    if not len(common):
-        return hashes[:size]
-    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-    return hashes[np.lexsort((hashes, np.where(common[at] == hashes, counts[at], 0)))[:size]]
-
-
-def shingle_sets(rows: DataFrame, shingle: int) -> DataFrame:
-    """The rows with their ``text`` replaced by its ``shingles``, A-Z lower-cased."""
-    names = [c for c in rows.columns if c != "text"]
-    rows = rows.select(*names, "text")
-    schema = rows.drop("text").withColumn("shingles", F.array().cast("array<long>")).schema
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(v.as_py().lower().split(), shingle).view(np.int64) for v in batch.column("text").cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(found, pa.list_(pa.int64()))], [*names, "shingles"])
-
-    return rows.mapInArrow(hashed, schema)
-
-
-def common_shingles(docs: DataFrame, shingle: int, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (ascending) that more than one text of a sample has, and in how many; ``MOST_COMMON`` at most."""
-    one_of = max(1, docs.count() // SAMPLE_TEXTS)
-    value = text_column(text)
-    sample = docs.select(value.alias("text")).filter(F.pmod(F.xxhash64(F.lit(11), value), F.lit(one_of)) == 0)
-    each = shingle_sets(sample, shingle).select(F.xxhash64("shingles").alias("node"), F.explode("shingles").alias("shingle"))
-    counts = each.distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    table = counts.orderBy(F.col("n").desc(), "shingle").limit(MOST_COMMON).toArrow()
-    common, n = table["shingle"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    order = np.argsort(common)
-    return common[order], n[order]
-
-
-def wide_fingerprints(docs: DataFrame, shingle: int, id_column: str, text: str, keys: dict[str, Column]) -> DataFrame:
-    """doc_id, the row's keys, node (hash of its shingle set), fingerprint (binary) and prefix of every text, A-Z lower-cased."""
-    kept = docs.select(F.col(id_column).alias("doc_id"), *[c.alias(n) for n, c in keys.items()], text_column(text).alias("text"))
-    names = kept.columns[:-1]
-    schema = kept.drop("text").withColumns({
-        "node": F.lit(0).cast("long"), "fp": F.lit(b""), "prefix": F.array().cast("array<long>")}).schema
-    common, counts = common_shingles(docs, shingle, text)
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component of ``near_duplicates``, all columns unchanged: the smallest doc_id, then hashes of the row.
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, found, first = [], [], []
-            for value in batch.column("text").cast(pa.large_binary()):
-                hashes = shingle_set(value.as_py().lower().split(), shingle)
-                nodes.append(xxhash.xxh3_64_intdigest(hashes.tobytes()))
-                found.append(np.packbits(wide_bits(hashes)).tobytes())
-                first.append(prefix(hashes, common, counts).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(found, pa.binary()),
-                 pa.array(first, pa.list_(pa.int64()))], [*names, "node", "fp", "prefix"])
+    Rows without id stay only if their whole component has none. Null texts and
+    texts without words are one component. Rows equal in id and text count as
+    copies, of which one stays. An empty table stays empty.
 
-    return kept.mapInArrow(hashed, schema)
-
-
-def _reached(fps: np.ndarray) -> tuple[list[int], list[int]]:
-    """A forest of links among fingerprints (rows of words): each is compared with those not reached yet only."""
-    child, parent = [], []
-    open_rows = np.arange(len(fps))
-    while len(open_rows):
-        queue, open_rows = [int(open_rows[0])], open_rows[1:]
-        while queue and len(open_rows):
-            at = queue.pop()
-            near = np.bitwise_count(fps[open_rows] ^ fps[at]).sum(axis=1) <= MOST_WIDE_BITS
-            reached = open_rows[near].tolist()
-            child += reached
-            parent += [at] * len(reached)
-            queue += reached
-            open_rows = open_rows[~near]
-    return child, parent
-
-
-def _left_over(fps: np.ndarray, roots: np.ndarray) -> tuple[list[int], list[int]]:
-    """All pairs of near fingerprints in different components; members of the largest are not compared with each other."""
-    names, size = np.unique(roots, return_counts=True)
-    if len(names) < 2:
-        return [], []
-    largest = roots == names[np.argmax(size)]
-    order = np.concatenate([np.flatnonzero(~largest), np.flatnonzero(largest)])
-    a, b = [], []
-    for i, at in enumerate(order[:len(order) - int(largest.sum())]):
-        rest = order[i + 1:]
-        rest = rest[roots[rest] != roots[at]]
-        near = rest[np.bitwise_count(fps[rest] ^ fps[at]).sum(axis=1) <= MOST_WIDE_BITS].tolist()
-        a += [int(at)] * len(near)
-        b += near
-    return a, b
-
-
-def _pairs(runs: DataFrame, members: DataFrame, forest: bool) -> DataFrame:
-    """(a, b), a above b: near members of equal keys; a forest of them, or all pairs of different roots."""
-    runs = runs.join(members, "node").repartition("key").sortWithinPartitions("key", "node")
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def complete(key, node, root, fp):
-            start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            found = set()
-            for first, end in zip(start, np.append(start[1:], len(key))):
-                a, b = _reached(fp[first:end]) if forest else _left_over(fp[first:end], root[first:end])
-                a, b = node[first:end][a], node[first:end][b]
-                found.update(zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist()))
-            links = sorted(found)
-            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.int64()),
-                                               "b": pa.array([y for _, y in links], pa.int64())})
-
-        held = [*(np.zeros(0, np.int64) for _ in range(3)), np.zeros((0, WIDE // 64), np.uint64)]
-        for batch in batches:
-            fp = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE // 64)
-            held = [np.concatenate(p) for p in zip(held, (*(batch.column(c).to_numpy() for c in ("key", "node", "root")), fp))]
-            cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
-            if cut:
-                yield complete(*(h[:cut] for h in held))
-            held = [h[cut:] for h in held]
-        if len(held[0]):
-            yield complete(*held)
-
-    return runs.select("key", "node", "root", "fp").mapInArrow(link, "a long, b long").distinct()
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, and whether their shingle sets are similar."""
-    side = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"of_{name}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    part, whole = LEAST_SIMILAR
-    return both.select("a", "b", (whole * shared >= part * (F.size("of_a") + F.size("of_b") - shared)).alias("similar"))
-
-
-def similar_links(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(a, b): links of the same components as all pairs of nodes whose shingle sets are similar.
-
-    Similar sets share a hash of their prefixes, on which they meet. The first deal
-    carries node numbers only and keeps hashes of two nodes or
-    more; those are dealt again with the fingerprints, which rule out what is
-    far apart. The shingle sets of what is left (``sets_of`` nodes) decide. A
-    hash's run first gives a forest, each member being compared with members
-    not reached yet, so a run of near copies takes about one comparison each.
-    As links of it can fail, all pairs that are still in different components
-    follow. Only texts just below the bound, which share their
-    rarest shingles and never link, are checked pair by pair.
-    """
-    index = nodes.select("node", F.explode("prefix").alias("key")).repartition("key").sortWithinPartitions("key")
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held_node = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        before = None                                   # key of the row before the held ones
-        for batch in batches:
-            key = np.concatenate([held_key, batch.column("key").to_numpy()])
-            node = np.concatenate([held_node, batch.column("node").to_numpy()])
-            if not len(key):
-                continue
-            same = key[1:] == key[:-1]
-            twice = np.append(key[0] == before if before is not None else False, same) | np.append(same, False)
-            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][twice[:-1]]), pa.array(node[:-1][twice[:-1]])], ["key", "node"])
-            before = key[-2] if len(key) > 1 else before
-            held_key, held_node = key[-1:], node[-1:]
-        if len(held_key) and before is not None and held_key[0] == before:
-            yield pa.RecordBatch.from_arrays([pa.array(held_key), pa.array(held_node)], ["key", "node"])
-
-    runs = stored(index.select("key", "node").mapInArrow(shared, "key long, node long"), "shared-shingles")
-    fps = nodes.select("node", "fp")
-    forest = stored(_pairs(runs, fps.withColumn("root", F.lit(0).cast("long")), True), "similar-forest")
-    near = forest.select(F.col("a").alias("node")).unionByName(forest.select(F.col("b").alias("node"))).distinct()
-    sets = stored(sets_of(near), "similar-sets")
-    checked = stored(_similar(forest, sets), "similar-checked")
-    links = checked.filter("similar").select("a", "b")
-    if checked.filter("NOT similar").isEmpty():
-        return links
-    roots = components(links)
-    members = near.join(fps, "node").join(roots, "node", "left").select("node", "fp", F.coalesce("root", "node").alias("root"))
-    rest = _pairs(runs, members, False).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    return links.unionByName(stored(_similar(rest, sets).filter("similar").select("a", "b"), "similar-rest"))
-
-
-def keep_one(docs: DataFrame, shingle: int = PIPELINE_SHINGLE, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of similar documents, all columns unchanged: the smallest doc_id, then text hash.
-
-    Similar are texts that have ``LEAST_SIMILAR`` of all their distinct
-    five-word shingles in common, which the shingles' 64-bit hashes decide, and
-    what links of such texts join. Texts of equal shingles meet first. Rows
-    without id stay only if their whole group has none. Rows that repeat both id
-    and text count as copies. An empty table stays empty.
+    Rows are found again by two hashes of id and text. Rows whose hashes no other row has
+    go through one exchange; the few that repeat are taken apart from the start, and equal
+    rows are reduced before they are moved.
     """
     keys = row_keys(id_column, text)
-    hashed = stored(wide_fingerprints(docs, shingle, id_column, text, keys), "wide-fingerprints")
-    nodes = stored(hashed.groupBy("node").agg(F.first("fp").alias("fp"), F.first("prefix").alias("prefix")), "wide-nodes")
-
-    def sets_of(some: DataFrame) -> DataFrame:
-        one = hashed.join(some, "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k"))
-        texts = docs.select(*[c.alias(n) for n, c in keys.items()], text_column(text).alias("text"))
-        texts = texts.join(one.select("node", "k.k1", "k.k2"), ["k1", "k2"]).groupBy("node").agg(F.first("text").alias("text"))
-        return shingle_sets(texts, shingle)
-
-    roots = components(similar_links(nodes, sets_of))
+    found = near_duplicates(docs, shingle, id_column, text, keys)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
-    least = hashed.groupBy("node").agg(F.min(order).alias("first"))
-    least = least.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    first = least.select(F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"))
+    by_text = found.groupBy("root", "fp").agg(F.min(order).alias("first"))
+    first = by_text.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2")
+    repeated = found.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1", "k2", F.lit(True).alias("repeats"))
+    first = stored(first.join(repeated, ["k1", "k2"], "left").fillna(False, ["repeats"]), "first-of-group")
     rows = docs.select(F.struct(*docs.columns).alias("row"), *[c.alias(n) for n, c in keys.items()])
-    rows = rows.join(first, ["k1", "k2"], "left_semi")
-    copy = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))
-    return rows.withColumn("copy", copy).filter("copy = 1").select("row.*")
+    once = rows.join(first.filter("NOT repeats").select("k1", "k2"), ["k1", "k2"], "left_semi")
+    again = rows.join(first.filter("repeats").select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return once.select("row.*").unionByName(again.select("row.*"))

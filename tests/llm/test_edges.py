@@ -49,7 +49,6 @@ def test_simhash(edge_docs):
     assert simhash.near_duplicates(edge_docs.limit(0)).count() == 0
     kept = simhash.keep_one(edge_docs)
     assert kept.columns == edge_docs.columns
-    # repeated prose has the same shingles however often it repeats: the copies of 7 go with 5
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 4, 5, 7, 8]
     assert simhash.keep_one(edge_docs.limit(0)).count() == 0
 
