@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from attriflux.llm.shared import text_column
 
 SAMPLE_DOCS = 1500          # labelled documents of each label that are used, those with the smallest id hashes
-SAMPLE_BYTES = 16384        # of each of them, at most
+SAMPLE_BLOCKS = 16          # blocks of a document that go into a dictionary, spread evenly over all of it
 DICTIONARY_BYTES = 65536
 BLOCK_BYTES = 1024          # texts are compressed in blocks, so that a long one does not become its own dictionary
 LEVEL = 3
@@ -42,8 +42,16 @@ class CompressionModel:
 
 
 def dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
-    """A zstandard dictionary of the texts. Texts too few to train one are used as they are."""
-    blocks = [t[i:i + BLOCK_BYTES] for t in texts for i in range(0, len(t), BLOCK_BYTES)]
+    """A zstandard dictionary of the texts. Texts too few to train one are used as they are.
+
+    Of a text with more than ``SAMPLE_BLOCKS`` blocks as many are taken, from
+    its begin to its end, so that long texts do not outweigh all others.
+    """
+    blocks = []
+    for t in texts:
+        n = -(-len(t) // BLOCK_BYTES)
+        places = range(n) if n <= SAMPLE_BLOCKS else np.linspace(0, n - 1, SAMPLE_BLOCKS).round().astype(int).tolist()
+        blocks += [t[i * BLOCK_BYTES:(i + 1) * BLOCK_BYTES] for i in places]
     try:
         return zstandard.train_dictionary(size, blocks, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -99,18 +107,20 @@ def train_compression_model(docs: DataFrame, labels: DataFrame, sample_docs: int
                             id_column: str = "doc_id", text: str = "text") -> CompressionModel | None:
     """Dictionaries from one half of a bounded sample of labelled rows, the calibration from the other half.
 
-    The sample has up to ``sample_docs`` documents of each label and
-    ``SAMPLE_BYTES`` of each, none of them held out. None if a label is missing.
+    The sample has up to ``sample_docs`` documents of each label, whole texts, one
+    row of each id, none of them held out. None if a label is missing.
     """
     known = labels.filter(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     order = [F.xxhash64("doc_id"), "doc_id"]
     sample = known.filter("quality > 0").orderBy(*order).limit(sample_docs).unionByName(
         known.filter("quality <= 0").orderBy(*order).limit(sample_docs))
-    texts = docs.select(F.col(id_column).alias("doc_id"), text_column(text).cast("binary").substr(1, SAMPLE_BYTES).alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id")            # at most twice sample_docs rows
-    rows = sorted((r.doc_id, r.quality > 0, bytes(r.text)) for r in rows.collect())
-    found = [[t for _, is_good, t in rows if is_good == kind][:sample_docs] for kind in (True, False)]
+    texts = docs.select(F.col(id_column).alias("doc_id"), text_column(text).alias("text"))
+    texts = texts.join(F.broadcast(sample), "doc_id")           # at most twice sample_docs ids
+    texts = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.min("quality").alias("quality"))
+    texts = texts.select(F.xxhash64("doc_id").alias("draw"), (F.col("quality") > 0).alias("good"), F.col("text").cast("binary").alias("text"))
+    rows = sorted((r.draw, r.good, bytes(r.text)) for r in texts.collect())      # at most twice sample_docs
+    found = [[t for _, is_good, t in rows if is_good == kind] for kind in (True, False)]
     if not all(found):
         return None
     good, bad = (dictionary(texts[0::2]) for texts in found)
@@ -129,7 +139,8 @@ def score_quality(docs: DataFrame, model: CompressionModel | None, threshold: fl
 
     Null texts score like empty ones, whose sizes do not differ. Without a
     model every score is 0.5. Repeated rows and null ids give a row each. Only
-    the id and the text are read, so further columns cannot clash.
+    the id and the text are read, so further columns cannot clash. An empty
+    table gives no rows.
     """
     kept = docs.select(F.col(id_column).alias("doc_id"), held_out(F.col(id_column)).alias("held_out"),
                        text_column(text).cast("binary").alias("text"))

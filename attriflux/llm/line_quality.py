@@ -17,7 +17,7 @@ MOST_REPEATED = 30          # base rule: more per cent of repeated words fail
 WINDOW = 8                  # words of a window whose repetition counts
 LEAST_CONTENT = 0.5         # share of a document's words in content lines
 SAMPLE_DOCS = 2000          # labelled documents the CRF is fitted on, those with the smallest id hashes
-SAMPLE_LINES = 64           # lines of each of them
+CHAIN_LINES = 64            # longer documents are fitted as several chains of so many lines each
 SYMBOLS = b"#*$%&|<>"
 FEATURES = ("bias", "symbols", "upper", "bars", "shouts", "stutter", "digits", "no_end", "short", "repeated")
 
@@ -228,34 +228,37 @@ def fit_crf(chains: list[np.ndarray], labels: list[int], rounds: int = 200, pena
 
 def train_line_model(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
                      id_column: str = "doc_id", text: str = "text") -> LineModel:
-    """Fit the CRF on the ``sample_docs`` labelled documents with the smallest id hashes.
+    """Fit the CRF on the ``sample_docs`` labelled documents with the smallest id hashes, all their lines.
 
-    The sample is bounded, so it may come to the driver: ``SAMPLE_LINES``
-    lines of each document, as feature rows. Without labels of both kinds
-    every line counts as content.
+    The sample is bounded by its number of documents, one row of each id, so it
+    may come to the driver as feature rows. Without labels of both kinds every line counts as content.
     """
-    known = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    texts = docs.select(F.col(id_column).alias("doc_id"), text_column(text).alias("text"))
-    texts = texts.join(F.broadcast(sample), "doc_id")           # at most sample_docs rows
+    value = text_column(text)
+    texts = docs.select(F.col(id_column).alias("doc_id"), value.alias("text"))
+    texts = texts.join(F.broadcast(sample), "doc_id")           # at most sample_docs ids
+    texts = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.min("quality").alias("quality"))
+    texts = texts.select(F.xxhash64("doc_id").alias("draw"), F.col("doc_id").cast("string").alias("name"), "quality", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            quality = batch.column("quality").to_pylist()
-            ids = batch.column("doc_id").to_pylist()
             for first, end, data, borders in text_chunks(batch.column("text")):
                 table = line_table(data, borders)
-                for doc in range(end - first):
-                    own = table.features[table.line_doc == doc][:SAMPLE_LINES]
-                    yield pa.RecordBatch.from_pydict({
-                        "doc_id": pa.array([ids[first + doc]], pa.int64()),
-                        "quality": pa.array([quality[first + doc]], pa.int32()),
-                        "features": pa.array([own.astype("<f8").tobytes()], pa.binary())})
+                cuts = np.searchsorted(table.line_doc, np.arange(end - first + 1))
+                found = [table.features[a:b].astype("<f8").tobytes() for a, b in zip(cuts, cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(first, end - first) for c in ("draw", "name", "quality")), pa.array(found, pa.binary())],
+                    ["draw", "name", "quality", "features"])
 
-    found = texts.mapInArrow(rows, "doc_id long, quality int, features binary")
-    found = sorted(found.collect(), key=lambda r: (r.doc_id, r.features))[:sample_docs]
-    chains = [np.frombuffer(r.features).reshape(-1, len(FEATURES)) for r in found]
-    return fit_crf(chains, [int(r.quality > 0) for r in found])
+    found = texts.mapInArrow(rows, f"draw long, name string, quality {texts.schema['quality'].dataType.simpleString()}, features binary")
+    chains, marks = [], []
+    for r in sorted(found.collect()):                           # at most sample_docs rows
+        lines = np.frombuffer(r.features).reshape(-1, len(FEATURES))
+        for at in range(0, len(lines), CHAIN_LINES):
+            chains.append(lines[at:at + CHAIN_LINES])
+            marks.append(int(r.quality > 0))
+    return fit_crf(chains, marks)
 
 
 def verdicts(table: LineTable, model: LineModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,8 +279,8 @@ def verdicts(table: LineTable, model: LineModel) -> tuple[np.ndarray, np.ndarray
 def line_quality(docs: DataFrame, model: LineModel, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts, base rule and verdict of every document, from its whole text.
 
-    A null text has no words and fails the base rule. Repeated rows and null
-    ids give a row each. Only the id and the text are read, so further
+    A null or empty text has no words and fails the base rule. Repeated rows and null
+    ids give a row each; very long texts are read whole, each by itself. Only the id and the text are read, so further
     columns cannot clash. An empty table gives no rows.
     """
     kept = docs.select(F.col(id_column).alias("doc_id"), text_column(text).alias("text"))
@@ -301,7 +304,11 @@ def line_quality(docs: DataFrame, model: LineModel, id_column: str = "doc_id", t
 
 
 def keep_content(docs: DataFrame, model: LineModel, text: str = "text") -> DataFrame:
-    """The rows, all columns unchanged, whose text passes the base rule and the CRF."""
+    """The rows, all columns unchanged, whose text passes the base rule and the CRF.
+
+    Rows with null or empty texts go, repeated rows stay or go together, and
+    an empty table stays empty.
+    """
     both = docs.select(F.struct(*docs.columns).alias("row"), text_column(text).alias("text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
