@@ -15,6 +15,7 @@ WEIGHTS = (1, 2, 3)         # of the sources in order of their name, repeating
 MOST_TIMES = 3.0            # a source's target, and a document's share in the mix, in times of its size
 BLOCK_DOCS = 2048           # documents that take part in one walk
 LANDING = 12                # documents that are decided together at the end of a source
+GIANT = 0.002               # share of its source's target from which a document is settled before all others
 NEAR = 1e-9                 # a probability so close to 0 or 1 has arrived
 
 
@@ -110,10 +111,7 @@ def land(sizes: np.ndarray, chances: np.ndarray) -> np.ndarray:
 
 
 def _walk(table: pa.Table) -> pa.Table:
-    """One block: flight, and the landing if the block holds all that is left of its source.
-
-    Large documents walk first, so that those still open at the end are small.
-    """
+    """One block, large documents first: flight, and the landing if the block holds all that is left of its source."""
     order = pc.sort_indices(table, sort_keys=[("size", "descending"), ("mixed", "ascending")])
     table = table.take(order)
     sizes = table["size"].to_numpy().astype(float)
@@ -125,6 +123,34 @@ def _walk(table: pa.Table) -> pa.Table:
     return table.set_column(table.schema.get_field_index("chance"), "chance", pa.array(at))
 
 
+def _giants_first(rows: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """Settled documents above ``GIANT`` of their source's target, and the others with what that changes.
+
+    No few small documents can make up for a large one at the end. So large
+    ones are drawn among themselves, and the chances of all others of the
+    source rise or fall by what the draw missed its words by. The draw misses
+    by nothing on average, so chances stay what they are over all draws.
+    There are at most 500 giants for each time that a source's target holds its size.
+    """
+    big = (F.col("size") > F.lit(GIANT) * F.col("target")) & (F.col("chance") > 0)
+    giants = rows.filter(big).withColumns({"blocks": F.lit(1).cast("long"), "block": F.lit(0).cast("long")})
+    if giants.isEmpty():
+        return None, rows
+    settled = stored(giants.groupBy("rank").applyInArrow(_walk, giants.schema), "mixing-giants").drop("blocks", "block")
+    expected = giants.groupBy("rank").agg(F.sum(F.col("size") * F.col("chance")).alias("_expected"))
+    drawn = settled.groupBy("rank").agg(F.sum(F.col("size") * F.col("chance")).alias("_drawn"))
+    others = rows.filter(~big)
+    words = others.groupBy("rank").agg(F.sum("size").alias("_words"))
+    shift = expected.join(drawn, "rank").join(words, "rank").filter("_words > 0").select(
+        F.col("rank").alias("_rank"), ((F.col("_expected") - F.col("_drawn")) / F.col("_words")).alias("_shift"))
+    moved = others.join(shift, F.col("rank") == F.col("_rank"), "left")
+    most = F.lit(MOST_TIMES)
+    times = F.least(most, F.greatest(F.lit(0.0), F.col("whole") + F.col("chance") + F.coalesce("_shift", F.lit(0.0))))
+    whole = F.floor(times + NEAR)
+    moved = moved.withColumn("_times", times).withColumns({"whole": whole, "chance": F.greatest(F.lit(0.0), F.col("_times") - whole)})
+    return settled, moved.select(rows.columns)
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: float = MOST_TIMES, id_column: str = "doc_id",
         source_column: str = "source", text: str = "text", more: dict[str, Column] | None = None,
         block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -133,7 +159,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: float =
     A document's size is its number of words. A source's target divided by its
     size is how often each of its documents is expected: the whole part is
     taken as it is, the fraction is the chance of one more, drawn by the cube
-    method with the source's words and documents as constraints. Blocks of
+    method with the source's words and documents as constraints. Documents of
+    more than ``GIANT`` of the target are drawn first, and the others make up for what their draw misses. Blocks of
     about ``block_docs`` documents of a source (by hash) are walked first;
     what stays open, two of a block at most, is dealt and walked again, until
     one block of a source is left, which also lands. So a hot source takes more
@@ -155,13 +182,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: float =
     whole = F.floor(factor + NEAR)
     rows = rows.withColumns({"whole": whole, "chance": F.greatest(F.lit(0.0), factor - whole), "left": F.col("docs"),
                              "round": F.lit(0)}).drop("docs")
-    done: list[DataFrame] = []
+    rows = stored(rows, "mixing-chances")
+    settled, rows = _giants_first(rows)
+    done: list[DataFrame] = [settled] if settled is not None else []
     while True:
         blocks = F.ceil(F.col("left") / block_docs)
         block = F.pmod(F.xxhash64("mixed", "size", "round"), F.col("blocks"))
         dealt = rows.withColumn("blocks", blocks).withColumn("block", block)
         walked = stored(dealt.groupBy("rank", "block").applyInArrow(_walk, dealt.schema), "mixing-walk")
-        done.append(walked.filter((F.col("chance") == 0) | (F.col("chance") == 1)))
+        done.append(walked.filter((F.col("chance") == 0) | (F.col("chance") == 1)).select(rows.columns))
         still = walked.filter((F.col("chance") > 0) & (F.col("chance") < 1))
         left = still.groupBy("rank").agg(F.count(F.lit(1)).alias("left"))
         if still.isEmpty():
@@ -178,7 +207,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: float =
 
 def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: float = MOST_TIMES,
                id_column: str = "doc_id", source_column: str = "source", text: str = "text") -> DataFrame:
-    """The mix itself: every row as often as the mix takes it, all columns unchanged."""
+    """The mix itself: every row as often as the mix takes it, all columns unchanged.
+
+    Rows without words are taken no time, so null and empty texts go; equal rows
+    share their draws; an empty table stays empty.
+    """
     keys = row_keys(id_column, text)
     keys["k3"] = F.xxhash64(F.lit(0), F.col(source_column))
     drawn = mix(docs, weights, most_times, id_column, source_column, text, keys)

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from attriflux.llm import (
@@ -353,6 +354,24 @@ def test_targets_and_draws(spark, small_docs, texts):
     assert sorted((r.doc_id, r.taken) for r in rows) == sorted((r.doc_id, r.taken) for r in again)
 
 
+def test_targets_are_met(spark):
+    """Every source comes within half a per cent, also those with a document of a third of their target or more."""
+    out = mixing.mix(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    sources = out.groupBy("source").agg(F.max("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert len(sources) > 10 and all(abs(r.taken - r.target) < 0.005 * r.target for r in sources)
+    draws = random.Random(1)
+    for giant in (20000, 40000, 90000):
+        rows = [(i, "w " * draws.randint(5, 80), "a") for i in range(600)] + [(1000, "x " * giant, "a"), (1001, "x " * giant, "a")]
+        rows += [(2000 + i, "y " * draws.randint(5, 300), "b") for i in range(800)]
+        found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+        small = sum(r["size"] for r in found if r.source == "a" and r.doc_id < 1000)
+        for source in "ab":
+            own = [r for r in found if r.source == source]
+            reach = 3 * small if source == "a" else 1e9         # what the small ones can make up for
+            assert abs(sum(r.taken for r in own) - own[0].target) < max(0.005 * own[0].target, giant - reach)
+        assert all(r.taken <= 3 * r["size"] for r in found)
+
+
 def test_capped_targets(spark):
     docs = spark.createDataFrame([(1, "w " * 10, "a"), (2, "w " * 10, "b"), (3, "w " * 10, "c"), (4, "w " * 970, None)],
                                  "doc_id long, text string, source string")
