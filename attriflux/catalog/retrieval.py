@@ -11,6 +11,7 @@ from attriflux.functions.columns import half_even, rounded
 from attriflux.operators import documents as do
 from attriflux.operators import retrieval as re_
 from attriflux.operators import vector_index
+from attriflux.operators.dense_encoder import DenseEncoder
 from attriflux.session import fresh_path
 
 _fix = lambda e, d=2, sign="": f"coalesce(printf('%{sign}.{d}f', {r(e, d)}), 'nan')"
@@ -86,6 +87,18 @@ def embed_documents(spark, folder):
         half_even(F.aggregate(F.transform("vec", lambda v, i: v * i), F.lit(0.0), add), 4).alias("moment"))
 
 
+@register("embed_dense")
+def embed_dense(spark, folder):
+    """Each document's dense vector told by three figures."""
+    docs = documents(spark, folder)
+    encoder = once(spark, folder, "dense-encoder", lambda: DenseEncoder.fit(docs))
+    df = encoder.embed(docs)
+    add = lambda a, b: a + b
+    return df.select("id", F.size("vec").alias("dimensions"),
+                     half_even(F.aggregate(F.transform("vec", lambda v: v * v), F.lit(0.0), add), 6).alias("squares"),
+                     half_even(F.abs(F.col("vec")[0]), 4).alias("first"))
+
+
 @register("create_index", sql("""SELECT d.id, campaign_name, category, is_anomaly, CAST(c_date AS VARCHAR) AS c_date, 384 AS dimensions
 FROM docs d""", "docs"))
 def create_index(spark, folder):

@@ -93,7 +93,10 @@ def embed_documents(documents: DataFrame, encoder: TextEncoder | None = None) ->
 
 
 def create_index(features: DataFrame, path: str | None = None, buckets: int = 64) -> str:
-    """Rebuild the index of a feature table: documents with vectors in buckets of near ones, and the encoder beside them."""
+    """Rebuild the index of a feature table: documents with vectors in buckets of near ones, and the encoder beside them.
+
+    Files are sorted by category and date, so that conditions on the metadata skip parts of them.
+    """
     from attriflux.operators import vector_index     # it builds on the search of this module
 
     spark = features.sparkSession
@@ -106,7 +109,8 @@ def create_index(features: DataFrame, path: str | None = None, buckets: int = 64
     encoder.save(spark, f"{path}/encoder")
     vectors = fresh_path(spark, "vectors")
     encoder.embed_slots(documents).drop("slots").write.parquet(vectors)
-    return vector_index.write_index(spark.read.parquet(vectors), path, buckets=buckets)
+    return vector_index.write_index(spark.read.parquet(vectors), path, buckets=buckets,
+                                    order_by=["metadata.category", "metadata.c_date"])
 
 
 def load_index(spark: SparkSession, path: str) -> tuple[DataFrame, TextEncoder]:

@@ -25,6 +25,7 @@ from attriflux.session import fresh_path
 BUCKETS = 64            # partitions of an index; what is known of them is held by the driver, so at most MOST_BUCKETS
 MOST_BUCKETS = 4096
 DIRECTIONS = 8
+ROW_GROUP = 4096        # rows of a Parquet row group: what a condition skips at once
 SAMPLE_ROWS = 4096      # rows that directions and cuts are fitted to, drawn by a hash of the id; all rows are indexed
 
 
@@ -87,9 +88,12 @@ class Layout:
 
 
 def write_index(rows: DataFrame, path: str, key: str = "id", vec: str = "vec", buckets: int = BUCKETS,
-                directions: int = DIRECTIONS) -> str:
+                directions: int = DIRECTIONS, order_by: list[str] | None = None) -> str:
     """All rows with all their columns below ``path/documents``, one folder per bucket; layout and bucket ranges beside them.
 
+    Files are sorted by the ``order_by`` columns (also fields of structs), whose least and most values Parquet keeps per
+    row group and page: a condition on them is pushed to the scan, which skips what cannot meet it.
+
     Rows without a vector are kept in a bucket of their own, -1. Vectors must
     have one length. ``rows`` is read several times and should be a written table.
     AQE splits large buckets into several files and joins small ones in one task.
@@ -114,7 +118,9 @@ def write_index(rows: DataFrame, path: str, key: str = "id", vec: str = "vec", b
 
     placed = rows.withColumn("_place", place(F.col(vec))).withColumn("bucket", F.col("_place.bucket"))
     placed = placed.withColumns({"_along": F.col("_place.along"), "_over": F.col("_place.over")}).drop("_place")
-    placed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/documents")
+    dealt = placed.hint("rebalance", "bucket")
+    dealt = dealt.sortWithinPartitions("bucket", *order_by) if order_by else dealt
+    dealt.write.mode("overwrite").option("parquet.block.row.count.limit", ROW_GROUP).partitionBy("bucket").parquet(f"{path}/documents")
     spark.createDataFrame([(placed.schema.json(),)], "schema string").write.mode("overwrite").parquet(f"{path}/schema")
     written = _documents(spark, path).filter("bucket >= 0")
     spans = [f(F.col("_along")[i]) for i in range(m) for f in (F.min, F.max)]

@@ -123,3 +123,21 @@ def test_vectors_of_other_lengths_are_an_error(spark):
     docs = spark.createDataFrame([(1, [1.0, 2.0])], "id long, vec array<double>")
     with pytest.raises(Exception, match="entries"):
         re_.query_topk(docs, spark.createDataFrame([(1, [1.0])], "query_id long, vec array<double>"), 1).collect()
+
+
+def test_conditions_skip_parts_of_files(spark, tmp_path):
+    """One bucket of 60,000 rows in one file, sorted by kind: a condition on kind reads a part of it."""
+    rows = spark.range(0, 60000, 1, 4).select(
+        "id", F.array(F.lit(1.0), F.lit(2.0)).alias("vec"), F.struct((F.col("id") % 30).alias("kind"), F.lit("x").alias("name")).alias("metadata"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    path = vi.write_index(spark.read.parquet(f"{tmp_path}/rows"), f"{tmp_path}/index", buckets=1, order_by=["metadata.kind"])
+    docs = vi.read_index(spark, path).filter(F.col("metadata.kind") == 7)
+    out = docs.select("id")
+    assert out.count() == 2000
+    plan = out._jdf.queryExecution().executedPlan()
+    assert "EqualTo(metadata.kind,7)" in plan.toString()
+    rows_read = spark.read.parquet(f"{path}/documents").filter(F.col("metadata.kind") == 7).select("id")._jdf.queryExecution()
+    rows_read.toRdd().count()
+    scans = rows_read.executedPlan().collectLeaves()
+    read = scans.apply(0).metrics().apply("numOutputRows").value()
+    assert 2000 <= read < 15000
