@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attriflux.llm.shared import row_keys, sized, stored
+from attriflux.llm.shared import numbered_copies, row_keys, sized, stored
 
 WEIGHTS = (1, 2, 3)         # of the sources in order of their name, repeating
 MOST_TIMES = 3.0            # a source's target, and a document's share in the mix, in times of its size
@@ -169,12 +169,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: float =
 
     Null sources are one source, sorted last. Null texts and texts without
     words have size 0 and take nothing. Null ids and repeated rows are drawn
-    row by row. An empty table gives no rows.
+    row by row; equal rows are numbered, so they spread over blocks like others. An empty table gives no rows.
     """
     spark = docs.sparkSession
     columns = {"doc_id": F.col(id_column), "source": F.col(source_column), **(more or {}),
                "mixed": F.xxhash64(F.col(id_column), F.col(text), F.col(source_column))}
-    sizes = stored(sized(docs, columns, text), "mixing-sizes")
+    sizes = numbered_copies(stored(sized(docs, columns, text), "mixing-sizes"))
+    drawn = F.when(F.col("copy") > 0, F.xxhash64("mixed", "copy")).otherwise(F.col("mixed"))
+    sizes = stored(sizes.withColumn("mixed", drawn).drop("copy"), "mixing-copies")
     targets = source_targets(sizes, weights, most_times).select(
         F.col("source").alias("_source"), "source_size", "docs", "rank", "target")
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attriflux.llm.shared import sized, stored
+from attriflux.llm.shared import numbered_copies, sized, stored
 
 LENGTHS = (256, 512, 1024, 2048, 4096)
 GROUP_PIECES = 2048         # pieces that are packed together
@@ -95,7 +95,7 @@ def pack_documents(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, costs: d
     longest length is cut into pieces of that length and a rest; the pieces
     follow each other in ``piece``. Pieces are dealt by hash into groups of
     about ``group_pieces``, each packed on its own, so no task depends on the
-    number of documents and no key can be hot; what a group wastes is one or
+    number of documents and no key can be hot: equal rows are numbered first, and their numbers deal them like others. What a group wastes is one or
     two sequences that are not full. Returns doc_id, piece, first_word,
     n_words, sequence_id, seq_length and seq_offset.
 
@@ -107,14 +107,15 @@ def pack_documents(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, costs: d
     """
     costs = costs or bin_costs(lengths)
     longest = max(costs)
-    sizes = stored(sized(docs, {"doc_id": F.col(id_column)}, text), "packing-sizes")
+    sizes = stored(numbered_copies(stored(sized(docs, {"doc_id": F.col(id_column)}, text), "packing-sizes")), "packing-copies")
     piece = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("size") / longest) - 1).cast("int")))
-    pieces = sizes.select("doc_id", "size", piece.alias("piece")).select(
-        "doc_id", "piece", (F.col("piece").cast("long") * longest).alias("first_word"),
+    pieces = sizes.select("doc_id", "size", "copy", piece.alias("piece")).select(
+        "doc_id", "copy", "piece", (F.col("piece").cast("long") * longest).alias("first_word"),
         F.least(F.lit(longest), F.col("size") - F.col("piece").cast("long") * longest).cast("int").alias("n_words"))
     total = sizes.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("size") / longest)))).first()[0] or 0
     groups = max(1, -(-int(total) // group_pieces))
     mixed = F.xxhash64("doc_id", "piece", "n_words")
+    mixed = F.when(F.col("copy") > 0, F.xxhash64(mixed, "copy")).otherwise(mixed)
     pieces = pieces.withColumns({"_group": F.pmod(mixed, F.lit(groups)), "_mixed": mixed})
     schema = ("doc_id {}, piece int, first_word long, n_words int, sequence_id long, seq_length int, seq_offset int"
               .format(docs.schema[id_column].dataType.simpleString()))

@@ -13,6 +13,7 @@ from attriflux.session import fresh_path
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
+COPIES_RUN = 1 << 16     # copies of a row that are listed together
 CHUNK_BYTES = 2 << 20    # texts are handled together up to this size, to keep the arrays over their bytes small
 
 
@@ -92,6 +93,22 @@ def word_counts(column: pa.Array) -> np.ndarray:
     return counts
 
 
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """The rows with ``copy``: 0, 1, 2, ... among rows that are equal in all columns.
+
+    Equal rows are counted, which reduces them before they are moved, and
+    listed again in runs of ``COPIES_RUN``, so that no task lists all copies of a row. Which of equal rows has which number does not matter.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    runs = counted.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES_RUN).cast("long"))))
+    runs = runs.withColumn("_run", F.floor(F.col("_from") / COPIES_RUN))
+    many = runs.filter("_n > 1").repartition(F.xxhash64(*rows.columns, "_run"))
+    last = F.least(F.col("_n"), F.col("_from") + COPIES_RUN) - 1
+    listed = many.withColumn("copy", F.explode(F.sequence(F.col("_from"), last)))
+    once = runs.filter("_n = 1").withColumn("copy", F.lit(0).cast("long"))
+    return once.unionByName(listed).select(*rows.columns, "copy")
+
+
 def totals(rows: DataFrame, size: int, of: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
     """Sums over all rows of the ``size`` numbers that ``of`` makes of a batch. A task gives ``size`` numbers, however many rows it has."""
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

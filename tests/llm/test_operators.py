@@ -415,3 +415,29 @@ def test_pipeline_against_its_parts(spark, folder, small_docs, texts):
     assert times == Counter({r.doc_id: r.times for r in mixing.mix(third).collect() if r.times})
     words = sum(len(r.text.encode().split()) for r in fourth.collect())
     assert sum(r.n_words for r in corpus_pipeline.packing(spark, fourth, folder).collect()) == words
+
+
+# ---- equal rows ----
+
+def test_copies_are_numbered(spark, monkeypatch):
+    from attriflux.llm import shared
+    monkeypatch.setattr(shared, "COPIES_RUN", 100)
+    rows = [(None, 1)] * 1234 + [(7, 2)] * 100 + [(8, 3)] * 101 + [(i, 4) for i in range(50)]
+    out = shared.numbered_copies(spark.createDataFrame(rows, "a long, b int").repartition(5)).collect()
+    found = defaultdict(list)
+    for r in out:
+        found[r.a, r.b].append(r.copy)
+    assert {k: sorted(v) for k, v in found.items()} == {k: list(range(n)) for k, n in Counter(rows).items()}
+
+
+def test_equal_rows_are_no_large_block(spark):
+    """A hundred thousand equal rows, beside others: blocks stay near their size, and all words are placed."""
+    docs = spark.range(100000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'one two three' AS text", "'a' AS source").unionByName(
+        spark.range(3000).selectExpr("id AS doc_id", "concat('some words ', id) AS text", "'b' AS source"))
+    out = packing.pack_documents(docs, lengths=(16, 64), group_pieces=1000)
+    sizes = [r["count"] for r in out.groupBy((out.sequence_id / (1 << 24)).cast("long").alias("group")).count().collect()]
+    assert sum(sizes) == 103000 and max(sizes) < 1300
+    assert out.agg({"n_words": "sum"}).first()[0] == 309000
+    rows = mixing.mix(docs, block_docs=1000)
+    taken = {r.source: (r.target, r.taken) for r in rows.groupBy("source").agg(F.max("target").alias("target"), F.sum("taken").alias("taken")).collect()}
+    assert rows.count() == 103000 and all(abs(t - k) <= 6 for t, k in taken.values())
