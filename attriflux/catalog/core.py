@@ -98,14 +98,14 @@ _normalised = {
   c_date, clicks * 10 AS impressions, clicks, CAST(trunc(CAST(leads AS DOUBLE) * 1.5::DOUBLE * 0.6::DOUBLE) AS BIGINT) AS leads,
   orders, 0::DOUBLE AS mark_spent, revenue FROM sales""",
 }
-_payloads = {"google_ads": google_raw, "meta_ads": meta_raw, "tiktok_ads": tiktok_raw, "ga4": ga4_raw}
+PAYLOADS = {"google_ads": google_raw, "meta_ads": meta_raw, "tiktok_ads": tiktok_raw, "ga4": ga4_raw}
 
 
 def landed(spark: SparkSession, folder: str, platform: str) -> DataFrame:
     """A platform's raw export as it lands: one JSON text per line, written once per session."""
     def land():
         path = fresh_path(spark, f"landed-{platform}")
-        _payloads[platform](spark, folder).write.text(path)
+        PAYLOADS[platform](spark, folder).write.text(path)
         return path
     return spark.read.text(once(spark, folder, f"landed-{platform}", land)).withColumnRenamed("value", "payload")
 
@@ -114,7 +114,7 @@ _unified_list = columns_sql(UNIFIED_COLUMNS, MONEY, 4)
 
 
 def _register_normalisers() -> None:
-    for platform in _payloads:
+    for platform in PAYLOADS:
         def run(spark, folder, platform=platform):
             return rounded(pf.NORMALISERS[platform](landed(spark, folder, platform)), 4)
         register(f"normalise_{platform}", sql(f"SELECT {_unified_list} FROM ({_normalised[platform]})", "sales"))(run)
@@ -185,7 +185,7 @@ def validate_unified(spark, folder):
 
 
 def _combined(spark, folder):
-    frames = {name: (lambda n=name: pf.NORMALISERS[n](landed(spark, folder, n))) for name in _payloads}
+    frames = {name: (lambda n=name: pf.NORMALISERS[n](landed(spark, folder, n))) for name in PAYLOADS}
     frames["web"] = lambda: event_facts(spark, folder)
     frames["incomplete"] = lambda: event_facts(spark, folder).drop("revenue")   # left out and reported
     combined, errors = fs.combine_sources(frames)

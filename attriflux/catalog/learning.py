@@ -151,7 +151,7 @@ TASKS = {"anomaly": (mo.prepare_anomaly, mo.ANOMALY_TRAINERS), "forecast": (mo.p
 
 
 def prepared_rows(spark: SparkSession, folder: str, task: str) -> mo.Prepared:
-    return once(spark, folder, f"prepared-{task}", lambda: TASKS[task][0](_written_features(spark, folder)))
+    return once(spark, folder, f"prepared-{task}", lambda: TASKS[task][0](written_features(spark, folder)))
 
 
 def fitted(spark: SparkSession, folder: str, task: str, name: str) -> mo.Trained:
@@ -171,7 +171,7 @@ def forecast_comparison(spark: SparkSession, folder: str) -> mo.Comparison:
     return _comparison(spark, folder, "forecast")
 
 
-def _written_features(spark: SparkSession, folder: str) -> DataFrame:
+def written_features(spark: SparkSession, folder: str) -> DataFrame:
     """The feature table as training reads it: written once, then scanned."""
     def write():
         path = fresh_path(spark, "training")
@@ -224,7 +224,7 @@ _register_training()
   {r('regr_intercept(roas, coalesce(ctr, 0))', 4)} AS intercept FROM randomsplit WHERE split = 'train'""", "randomsplit"))
 def train_linear_one_feature(spark, folder):
     """Least squares of ROAS on one feature, with the scaling taken back out of the coefficients."""
-    rows = pr.clean_features(pr.split_random(_written_features(spark, folder)), ["ctr"])
+    rows = pr.clean_features(pr.split_random(written_features(spark, folder)), ["ctr"])
     scaler = pr.Scaler.fit(pr.train_part(rows), ["ctr"])
     model = mo.train_linear(mo.Prepared(rows, ["ctr"], "roas", scaler)).model
     slope = float(model.coefficients[0]) / scaler.scales[0]
@@ -237,7 +237,7 @@ def train_linear_one_feature(spark, folder):
 def train_linear_optimum(spark, folder):
     """Slope of the squared error at the fitted coefficients over all training rows: nothing is left to gain."""
     trained = fitted(spark, folder, "forecast", "linear_regression")
-    return _slopes(trained, pr.split_random(_written_features(spark, folder)), F.col("prediction") - F.col("roas"), {})
+    return _slopes(trained, pr.split_random(written_features(spark, folder)), F.col("prediction") - F.col("roas"), {})
 
 
 @register("train_logistic_optimum", "SELECT * FROM (VALUES " + ", ".join(
@@ -245,7 +245,7 @@ def train_linear_optimum(spark, folder):
 def train_logistic_optimum(spark, folder):
     """Slope of the penalised log loss at the fitted coefficients over all training rows."""
     trained = fitted(spark, folder, "anomaly", "logistic_regression")
-    rows = pr.split_stratified(_written_features(spark, folder), "is_anomaly")
+    rows = pr.split_stratified(written_features(spark, folder), "is_anomaly")
     n = pr.train_part(rows).count()
     penalty = {c: float(w) / n for c, w in zip(ANOMALY_FEATURES, trained.model.coefficients)}
     return _slopes(trained, rows, vector_to_array("probability")[1] - F.col("is_anomaly"), penalty)
@@ -266,7 +266,7 @@ def _slopes(trained: mo.Trained, rows: DataFrame, error: F.Column, penalty: dict
 @register("isolation_forest_share", sql("SELECT CAST(ceil(0.3::DOUBLE * count(*)) AS BIGINT) AS flagged, count(*) AS n_rows FROM stratified WHERE split = 'train'", "stratified"))
 def isolation_forest_share(spark, folder):
     """Training rows above the threshold: the share that was asked for, exactly."""
-    rows = pr.train_part(pr.split_stratified(_written_features(spark, folder), "is_anomaly"))
+    rows = pr.train_part(pr.split_stratified(written_features(spark, folder), "is_anomaly"))
     scored = fitted(spark, folder, "anomaly", "isolation_forest").transform(rows)
     return scored.agg(F.sum("prediction").cast("bigint").alias("flagged"), F.count(F.lit(1)).alias("n_rows"))
 
@@ -296,7 +296,7 @@ _copies_agree = sql(f"SELECT {', '.join(KEY)}, true AS agrees FROM features", "f
 
 def _agreement(spark: SparkSession, folder: str, trained: mo.Trained, copy: mo.Trained, shown: str) -> DataFrame:
     """Every row scored by the model and by its loaded copy."""
-    rows = _written_features(spark, folder)
+    rows = written_features(spark, folder)
     scored = trained.transform(rows).select(*rows.columns, F.col(shown).alias("first"))
     return copy.transform(scored).select(*KEY, F.col("first").eqNullSafe(F.col(shown)).alias("agrees"))
 
@@ -373,7 +373,7 @@ FROM (SELECT {_key_list}, {', '.join(FORECAST_FEATURES)}, {r('sum(val)', 4)} AS
   FROM ({_walk_sql('roas', f"SELECT {_key_list}, {', '.join(FORECAST_FEATURES)} FROM features")}) GROUP BY ALL)""", "features"))
 def predict_roas(spark, folder):
     """Requests scored by a saved model."""
-    requests = _written_features(spark, folder).select(*KEY, *FORECAST_FEATURES)
+    requests = written_features(spark, folder).select(*KEY, *FORECAST_FEATURES)
     return rounded(mo.predict_roas(given_model(spark, folder, "roas"), requests))
 
 
@@ -391,7 +391,7 @@ def predict_anomaly(spark, folder):
 
 @register("predict_roas_best")
 def predict_roas_best(spark, folder):
-    requests = _written_features(spark, folder).select(*KEY, *FORECAST_FEATURES)
+    requests = written_features(spark, folder).select(*KEY, *FORECAST_FEATURES)
     return mo.predict_roas(forecast_comparison(spark, folder).best, requests)
 
 
@@ -535,7 +535,7 @@ def load_shap(spark, folder):
 @register("shap_tree")
 def shap_tree(spark, folder):
     model = fitted(spark, folder, "forecast", "lightgbm")
-    return rounded(sh.explain(model, _written_features(spark, folder)).select(
+    return rounded(sh.explain(model, written_features(spark, folder)).select(
         *KEY, *[F.col("shap_values")[i].alias(c) for i, c in enumerate(FORECAST_FEATURES)]))
 
 
@@ -544,7 +544,7 @@ def shap_tree_adds_up(spark, folder):
     """Per row: SHAP values plus the mean output, less the model's own output."""
     trained = fitted(spark, folder, "forecast", "lightgbm")
     base = sh.expected_value(sh.leaf_rules(sh.read_trees(spark, trained.model)))
-    explained = sh.explain(trained, _written_features(spark, folder)).withColumn(
+    explained = sh.explain(trained, written_features(spark, folder)).withColumn(
         "features", array_to_vector(F.array(*trained.scaler.features)))
     total = F.aggregate("shap_values", F.lit(base), lambda a, b: a + b)
     out = trained.model.transform(explained).select(*KEY, half_even(total - F.col("prediction"), 6).alias("difference"))
@@ -589,7 +589,7 @@ def _no_negative_zero(df: DataFrame, names: list[str]) -> DataFrame:
 @register("explain_dispatch")
 def explain_dispatch(spark, folder):
     """Importances of models of three kinds, each explained by the method that suits it."""
-    rows = _written_features(spark, folder)
+    rows = written_features(spark, folder)
     models = [fitted(spark, folder, "anomaly", "logistic_regression"),
               fitted(spark, folder, "anomaly", "xgboost"),
               fitted(spark, folder, "forecast", "linear_regression")]
@@ -604,7 +604,7 @@ def explain_dispatch(spark, folder):
 @register("run_explainer")
 def run_explainer(spark, folder):
     result = explainer_run(
-        _written_features(spark, folder), anomaly_comparison(spark, folder).best,
+        written_features(spark, folder), anomaly_comparison(spark, folder).best,
         forecast_comparison(spark, folder).best, fresh_path(spark, "explained"))
     return result["anomaly"].select(F.lit("anomaly").alias("task"), "*").unionByName(
         result["forecaster"].select(F.lit("forecaster").alias("task"), "*"))

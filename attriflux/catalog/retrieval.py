@@ -157,7 +157,7 @@ def query_topk_many(spark, folder):
     return _shown(re_.query_topk(items, items.select(F.col("id").alias("query_id"), "vec"), 3))
 
 
-def _bucketed(spark: SparkSession, folder: str) -> str:
+def vector_index_path(spark: SparkSession, folder: str) -> str:
     make = lambda: vector_index.write_index(_items(spark, folder), fresh_path(spark, "vector-index"), buckets=32)
     return once(spark, folder, "vector-index", make)
 
@@ -165,14 +165,14 @@ def _bucketed(spark: SparkSession, folder: str) -> str:
 @register("search_index", _nearest_sql("true"))
 def search_index(spark, folder):
     """The bucketed index: only buckets that may hold a hit are read, and the answer is that of the whole table."""
-    hits, _ = vector_index.search_index(spark, _bucketed(spark, folder), _centres(_items(spark, folder)), 5)
+    hits, _ = vector_index.search_index(spark, vector_index_path(spark, folder), _centres(_items(spark, folder)), 5)
     return _shown(hits)
 
 
 @register("search_index_filtered", _nearest_sql("d.label >= 5"))
 def search_index_filtered(spark, folder):
     items = _items(spark, folder)
-    hits, _ = vector_index.search_index(spark, _bucketed(spark, folder), _centres(items), 5, F.col("label") >= 5)
+    hits, _ = vector_index.search_index(spark, vector_index_path(spark, folder), _centres(items), 5, F.col("label") >= 5)
     return _shown(hits)
 
 
@@ -182,18 +182,18 @@ def query_topk_filtered(spark, folder):
     return _shown(re_.query_topk_filtered(items, _centres(items), F.col("label") >= 5, 5))
 
 
-def _index_path(spark: SparkSession, folder: str) -> str:
+def index_path(spark: SparkSession, folder: str) -> str:
     return once(spark, folder, "index", lambda: re_.create_index(sales_features(spark, folder), fresh_path(spark, "index")))
 
 
 def _index(spark: SparkSession, folder: str) -> tuple[DataFrame, re_.TextEncoder]:
-    return re_.load_index(spark, _index_path(spark, folder))
+    return re_.load_index(spark, index_path(spark, folder))
 
 
 def _retrieved(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     docs, encoder = _index(spark, folder)
     questions = re_.question_frame(spark)
-    hits, _ = vector_index.search_index(spark, _index_path(spark, folder), encoder.embed(questions, "question"), 3)
+    hits, _ = vector_index.search_index(spark, index_path(spark, folder), encoder.embed(questions, "question"), 3)
     return re_.with_documents(hits, docs), questions
 
 

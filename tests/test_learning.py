@@ -18,7 +18,7 @@ from attriflux.schemas import ANOMALY_FEATURES, FORECAST_FEATURES
 
 @pytest.fixture(scope="module")
 def rows(spark, folder):
-    return le._written_features(spark, folder)
+    return le.written_features(spark, folder)
 
 
 @pytest.fixture(scope="module")
