@@ -241,7 +241,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id",
     rows are reduced before they are moved.
     """
     keys = row_keys(id_column, text)
-    found = near_duplicates(docs, shingle, id_column, text, keys)
+    found = stored(near_duplicates(docs, shingle, id_column, text, keys), "components")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
     by_text = found.groupBy("root", "fp").agg(F.min(order).alias("first"))
     first = by_text.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2")
