@@ -25,8 +25,8 @@ WORDS = 4096            # words that are known, those that most documents hold
 OVERSAMPLED = 16        # columns of the block beyond the dimensions that are kept
 PASSES = 3              # products with the matrix and its transpose
 SEED = 7
-BLOCK_ROWS = 2048       # documents that a task multiplies at once
-FOLDED = 32             # partial sums are added in so many groups first
+BLOCK_ROWS = 256        # documents that a task multiplies at once
+FOLDED = 8              # partial sums are added in so many groups first
 
 
 def words_of(text: Column) -> Column:
@@ -49,10 +49,12 @@ class DenseEncoder:
         There are as many dimensions as the texts' words can fill, ``dimensions`` at most.
         """
         spark = df.sparkSession
-        staged = df.select(words_of(F.coalesce(F.col(text), F.lit(""))).alias("words"))
+        told = fresh_path(spark, "words")
+        df.select(words_of(F.coalesce(F.col(text), F.lit(""))).alias("words")).write.parquet(told)      # the texts are made once
+        staged = spark.read.schema("words array<string>").parquet(told)
         counts = staged.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").count()
         known = counts.orderBy(F.desc("count"), "word").limit(words).collect()          # at most ``words``
-        total = df.count()
+        total = staged.count()
         vocabulary = tuple(r["word"] for r in known)
         weights = np.array([np.log((total + 1.0) / (r["count"] + 1.0)) + 1.0 for r in known])
         path = fresh_path(spark, "word-rows")
@@ -142,27 +144,41 @@ def _multiplied(rows: DataFrame, weights: np.ndarray, block: np.ndarray) -> np.n
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = sent.value
-        total, fold = np.zeros(b.shape), 0
+        total, fold, rows_read = np.zeros(b.shape), 0, 0
         for batch in batches:
             for first in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(first, BLOCK_ROWS)
                 words, times = part.column("words"), part.column("times")
                 ids = words.flatten().to_numpy()
                 row = np.repeat(np.arange(part.num_rows), np.diff(words.offsets.to_numpy()))
-                x = np.zeros((part.num_rows, len(b)))
-                x[row, ids] = (1.0 + np.log(times.flatten().to_numpy())) * weights[ids]
-                norms = np.linalg.norm(x, axis=1, keepdims=True)
-                x /= np.where(norms == 0, 1.0, norms)
-                total += x.T @ (x @ b)
-                fold += int(ids.sum()) if len(ids) else 0
-        yield pa.RecordBatch.from_pydict({"fold": pa.array([fold % FOLDED], pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
+                if not len(ids):
+                    continue
+                value = (1.0 + np.log(times.flatten().to_numpy())) * weights[ids]
+                value /= np.sqrt(np.bincount(row, value * value, minlength=part.num_rows))[row]
+                # X B: of each document the sum over its words; then X' of that: of each word the sum over its documents
+                y = np.zeros((part.num_rows, b.shape[1]))
+                begins = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+                y[row[begins]] = np.add.reduceat(b[ids] * value[:, None], begins)
+                order = np.argsort(ids, kind="stable")
+                ids, row, value = ids[order], row[order], value[order]
+                begins = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+                total[ids[begins]] += np.add.reduceat(y[row] * value[:, None], begins)
+                fold += int(ids.sum())
+                rows_read += part.num_rows
+        if rows_read:
+            yield pa.RecordBatch.from_pydict({"fold": pa.array([fold % FOLDED], pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(block.shape)
+        total = None
         for batch in batches:
             for part in batch.column("part"):
-                total += np.frombuffer(part.as_py()).reshape(block.shape)
-        yield pa.RecordBatch.from_pydict({"fold": pa.array([0], pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
+                own = np.frombuffer(part.as_py()).reshape(block.shape)
+                total = own.copy() if total is None else total + own
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"fold": pa.array([0], pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
 
     parts = rows.mapInArrow(partial, schema).repartition(FOLDED, "fold").mapInArrow(add, schema)
-    return sum(np.frombuffer(r.part).reshape(block.shape) for r in parts.collect())      # FOLDED matrices as large as the block
+    total = np.zeros(block.shape)
+    for r in parts.toLocalIterator():                       # FOLDED matrices as large as the block at most, one after the other
+        total += np.frombuffer(r.part).reshape(block.shape)
+    return total
