@@ -143,6 +143,7 @@ def _giants_first(rows: DataFrame) -> tuple[DataFrame | None, DataFrame]:
     words = others.groupBy("rank").agg(F.sum("size").alias("_words"))
     shift = expected.join(drawn, "rank").join(words, "rank").filter("_words > 0").select(
         F.col("rank").alias("_rank"), ((F.col("_expected") - F.col("_drawn")) / F.col("_words")).alias("_shift"))
+    shift = stored(shift, "mixing-shift")                   # a row per source: written, so that its size is known to the join
     moved = others.join(shift, F.col("rank") == F.col("_rank"), "left")
     most = F.lit(MOST_TIMES)
     times = F.least(most, F.greatest(F.lit(0.0), F.col("whole") + F.col("chance") + F.coalesce("_shift", F.lit(0.0))))
