@@ -197,3 +197,13 @@ def test_a_range_is_replaced_and_others_stay(spark, raw_facts, tmp_path):
     whole = fs.load_range(spark, path, facts.schema, "2024-01-01", "2024-01-31")
     fs.save_range(whole.withColumn("clicks", F.col("clicks") * 2), path, "2024-01-01", "2024-01-31")     # from the table itself
     assert sorted(r.clicks for r in fs.load_range(spark, path, facts.schema, "2024-01-01", "2024-01-31").collect()) == [14, 100, 240]
+
+
+def test_validated_payload_is_parsed_once(spark):
+    """Dropping rejected rows must not copy the JSON parsing into one filter term per checked value."""
+    raw = spark.createDataFrame([(json.dumps({"campaign": {"name": "c"}, "segments": {"date": "2024-01-01"},
+                                               "metrics": {"impressions": 1, "clicks": 1, "cost_micros": 1, "conversions": 1.0,
+                                                           "conversions_value": 1.0}}),)], ["payload"])
+    out = fs.validate_unified(pf.normalise_google_ads(raw), "google_ads")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert out.count() == 1
