@@ -155,14 +155,11 @@ def _multiplied(rows: DataFrame, weights: np.ndarray, block: np.ndarray) -> np.n
                     continue
                 value = (1.0 + np.log(times.flatten().to_numpy())) * weights[ids]
                 value /= np.sqrt(np.bincount(row, value * value, minlength=part.num_rows))[row]
-                # X B: of each document the sum over its words; then X' of that: of each word the sum over its documents
-                y = np.zeros((part.num_rows, b.shape[1]))
-                begins = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                y[row[begins]] = np.add.reduceat(b[ids] * value[:, None], begins)
-                order = np.argsort(ids, kind="stable")
-                ids, row, value = ids[order], row[order], value[order]
-                begins = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-                total[ids[begins]] += np.add.reduceat(y[row] * value[:, None], begins)
+                # X B, then X' of that, on the slice's own words only: two small dense products
+                used, local = np.unique(ids, return_inverse=True)
+                x = np.zeros((part.num_rows, len(used)))
+                x[row, local] = value
+                total[used] += x.T @ (x @ b[used])
                 fold += int(ids.sum())
                 rows_read += part.num_rows
         if rows_read:
