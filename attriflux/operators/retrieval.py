@@ -89,7 +89,12 @@ class TextEncoder:
 
 
 def embed_documents(documents: DataFrame, encoder: TextEncoder | None = None) -> DataFrame:
-    return (encoder or TextEncoder.fit(documents)).embed(documents)
+    """The documents are made once, with their slots, for the weights and for the vectors."""
+    spark = documents.sparkSession
+    staged = fresh_path(spark, "slots")
+    documents.withColumn("slots", term_slots(F.col("text"))).write.parquet(staged)
+    documents = spark.read.parquet(staged)
+    return (encoder or TextEncoder.fit_slots(documents)).embed_slots(documents).drop("slots")
 
 
 def create_index(features: DataFrame, path: str | None = None, buckets: int = 64) -> str:
