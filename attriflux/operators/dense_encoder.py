@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,24 +80,13 @@ class DenseEncoder:
 
     def embed(self, df: DataFrame, text: str = "text", out: str = "vec") -> DataFrame:
         """Add the vectors. A text without known words gets zeros."""
-        place = {w: i for i, w in enumerate(self.words)}
         table = self.weights[:, None] * self.vectors if len(self.words) else np.zeros((0, self.vectors.shape[1]))
-        sent = df.sparkSession.sparkContext.broadcast((place, table))               # ``WORDS`` x ``DIMENSIONS`` numbers at most
+        sent = df.sparkSession.sparkContext.broadcast((self.words, table))          # ``WORDS`` x ``DIMENSIONS`` numbers at most
 
         @F.arrow_udf("array<double>")
         def encode(words: pa.Array) -> pa.Array:
             known, vectors = sent.value
-            out = np.zeros((len(words), vectors.shape[1]))
-            if len(vectors):
-                sizes = np.diff(words.offsets.to_numpy())
-                ids = np.array([known.get(w, -1) for w in words.flatten().to_pylist()], np.int64)
-                row = np.repeat(np.arange(len(words)), sizes)[ids >= 0]
-                found, times = np.unique(row * len(vectors) + ids[ids >= 0], return_counts=True)
-                order_rows, order_words = np.divmod(found, len(vectors))
-                # word counts are damped: the tenth mention says less than the first
-                np.add.at(out, order_rows, vectors[order_words] * (1.0 + np.log(times))[:, None])
-            norms = np.linalg.norm(out, axis=1, keepdims=True)
-            return from_matrix(out / np.where(norms == 0, 1.0, norms))
+            return from_matrix(_encoded(words, pa.array(known, pa.string()), vectors))
 
         return df.withColumn(out, encode(words_of(F.coalesce(F.col(text), F.lit("")))))
 
@@ -114,18 +104,39 @@ class DenseEncoder:
         return cls(tuple(r.word for r in rows), np.array([r.weight for r in rows]), vectors, np.array(about.singular))
 
 
+def _word_counts(texts: pa.Array, place: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, word, times) of the known words in lists of words, by row and word."""
+    ids = pc.index_in(texts.flatten(), value_set=place).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), np.diff(texts.offsets.to_numpy()))[ids >= 0]
+    found, times = np.unique(row * max(1, len(place)) + ids[ids >= 0], return_counts=True)
+    return *np.divmod(found, max(1, len(place))), times
+
+
+def _encoded(texts: pa.Array, place: pa.Array, vectors: np.ndarray) -> np.ndarray:
+    """The texts' vectors. ``BLOCK_ROWS`` texts meet their own words in one dense product: memory does not grow with a batch's words."""
+    out = np.zeros((len(texts), vectors.shape[1]))
+    for first in range(0, len(texts) if len(vectors) else 0, BLOCK_ROWS):
+        part = texts.slice(first, BLOCK_ROWS)
+        row, ids, times = _word_counts(part, place)
+        used, local = np.unique(ids, return_inverse=True)
+        x = np.zeros((len(part), len(used)))
+        # word counts are damped: the tenth mention says less than the first
+        x[row, local] = 1.0 + np.log(times)
+        out[first:first + len(part)] = x @ vectors[used]
+    norms = np.linalg.norm(out, axis=1, keepdims=True)
+    out /= np.where(norms == 0, 1.0, norms)
+    return out
+
+
 def _counted(staged: DataFrame, vocabulary: tuple[str, ...]) -> DataFrame:
     """Per document the numbers of its known words and how often each stands there."""
-    sent = staged.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
+    sent = staged.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = sent.value
+        place = pa.array(sent.value, pa.string())
         for batch in batches:
             column = batch.column("words")
-            ids = np.array([place.get(w, -1) for w in column.flatten().to_pylist()], np.int64)
-            row = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))[ids >= 0]
-            found, times = np.unique(row * max(1, len(place)) + ids[ids >= 0], return_counts=True)
-            rows, words = np.divmod(found, max(1, len(place)))
+            rows, words, times = _word_counts(column, place)
             borders = pa.array(np.searchsorted(rows, np.arange(len(column) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(borders, pa.array(words.astype(np.int32))),

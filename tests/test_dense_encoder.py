@@ -97,3 +97,26 @@ def test_one_pass_is_the_plain_product_and_quick(spark):
     x = matrix_of(encoder, [" ".join(t) for t in texts])
     assert np.allclose(got, x.T @ (x @ block), rtol=1e-9, atol=1e-9)
     assert took < 8.0, took
+
+
+def test_memory_of_a_batch_does_not_grow_with_its_words():
+    """10,000 texts of 40 words in 384 dimensions once took 1.2 GB for a copy of every word's vector."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from attriflux.operators.dense_encoder import _encoded
+    draws = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(4096)]
+    vectors = draws.standard_normal((len(words), 384))
+    said = draws.integers(0, len(words) + 10, (10_000, 40))                 # the last ten are not known
+    texts = pa.array([[f"w{i}" for i in row] for row in said.tolist()])
+    tracemalloc.start()
+    got = _encoded(texts, pa.array(words), vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    for i in (0, 255, 256, 9_999):
+        known, times = np.unique(said[i][said[i] < len(words)], return_counts=True)
+        one = (vectors[known] * (1 + np.log(times))[:, None]).sum(axis=0)
+        assert np.allclose(got[i], one / np.linalg.norm(one))
