@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import comb, factorial
 
@@ -24,9 +24,11 @@ from attriflux.session import fresh_path
 BACKGROUND_ROWS = 50
 EXACT_FEATURES = 12         # up to so many features every coalition is taken, 4,096 at most
 COALITIONS = 4096           # sampled coalitions of more features
-BLOCK_CELLS = 1 << 18       # numbers of an array that a task works on at once: it stays in the processor's cache
+TABLE_CELLS = 512           # ways in which the rows of a group of leaves may differ
+GROUP_LEAVES = 62           # leaves of a group: one bit each
+KEPT_NUMBERS = 1 << 23      # numbers of tables that a task keeps from one batch to the next
 KERNEL_CELLS = 1 << 21      # numbers of the mixed rows that one prediction call gets
-BLOCK_ROWS = 256            # rows that meet a block of leaves
+BLOCK_ROWS = 16384          # rows that look up their cells at once
 
 
 # ---- linear models ----
@@ -116,8 +118,27 @@ def expected_value(leaves: list[tuple]) -> float:
     return float(sum(value * np.prod(shares) for _, _, _, shares, value in leaves))
 
 
-def tree_shap_values(leaves: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
-    """SHAP values of every row from the arrays of ``leaf_arrays``.
+def grouped_leaves(first: np.ndarray, last: np.ndarray, ranks: np.ndarray) -> list[int]:
+    """Where groups of neighbouring leaves begin, and the end: a group's rows differ in at most ``TABLE_CELLS`` ways, if it has two leaves."""
+    starts, held, count = [0], [], 0
+    for i in range(first.shape[1]):
+        one = [{(a, b)} for a, b in zip(first[:, i].tolist(), last[:, i].tolist())]
+        joined = [h | o for h, o in zip(held, one)] if count else one
+        cells = 1
+        for spans, top in zip(joined, ranks.tolist()):
+            borders = {a for a, _ in spans} | {b + 1 for _, b in spans}
+            inner = len(borders - {0, top + 1})
+            cells *= min(inner, 1) + 1 if len(spans) == 1 else inner + 1
+        if count and (cells > TABLE_CELLS or count == GROUP_LEAVES):
+            starts.append(i)
+            joined, count = one, 0
+        held, count = joined, count + 1
+    return [*starts, first.shape[1]]
+
+
+def leaf_table(first: np.ndarray, last: np.ndarray, ranks: np.ndarray, share: np.ndarray,
+               value: np.ndarray) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
+    """SHAP values by a group's leaves for every way in which rows can differ, and per feature what a rank adds to a row's cell.
 
     A feature outside a coalition counts with its cover share z, one inside
     with m = 0 or 1. The weight s! (d-s-1)! / d! of a coalition is the
@@ -126,34 +147,99 @@ def tree_shap_values(leaves: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     z (1-t) + m t. That is a polynomial in t, which Gauss-Legendre points
     integrate exactly: no coalition is ever listed.
     """
-    low, high, share, value = leaves
-    points, weights = np.polynomial.legendre.leggauss((rows.shape[1] + 1) // 2)
+    used = np.flatnonzero(((first > 0) | (last < ranks[:, None])).any(axis=1))
+    points, weights = np.polynomial.legendre.leggauss((len(used) + 1) // 2 or 1)
     points, weights = (points + 1) / 2, weights / 2
-    phi, columns = np.zeros(rows.shape), rows.T[:, :, None]
-    block = max(1, BLOCK_CELLS // max(1, rows.size))
-    for at in range(0, len(value), block):
-        z = share[:, None, at:at + block]
-        met = (columns > low[:, None, at:at + block]) & (columns <= high[:, None, at:at + block])
-        total = np.zeros(met.shape)
-        for t, w in zip(points, weights):
-            factor = z * (1 - t) + met * t
-            total += (w * factor.prod(axis=0)) / factor
-        phi += ((met - z) * total * value[at:at + block]).sum(axis=2).T
-    return phi
+    product = (weights * value[:, None]).reshape(1, -1)         # cells x (leaf, point)
+    digits, changes = [], []
+    for f in used:
+        borders = np.unique(np.concatenate([[0], first[f], last[f] + 1]))
+        borders = borders[borders <= ranks[f]]
+        met = (borders[:, None] >= first[f]) & (borders[:, None] <= last[f])
+        # ranks that the same leaves meet are one digit
+        _, at, digit = np.unique(met @ (1 << np.arange(met.shape[1])), return_index=True, return_inverse=True)
+        met, z = met[at, :, None], share[f][:, None]
+        factor = (z * (1 - points) + met * points).reshape(len(at), -1)
+        changes.append(np.broadcast_to(met - z, (*met.shape[:2], len(points))).reshape(len(at), -1) / factor)
+        digits.append(np.repeat(digit, np.diff([*borders, ranks[f] + 1])))
+        product = (product[:, None, :] * factor).reshape(-1, product.shape[1])
+    table, steps, below = np.zeros((len(product), len(ranks))), [], len(product)
+    for f, digit, change in zip(used, digits, changes):
+        below //= len(change)
+        parts = product.reshape(-1, len(change), below, product.shape[1])
+        table[:, f] = np.matmul(parts, change[:, :, None]).reshape(-1)
+        steps.append((int(f), digit * below))
+    return steps, table
+
+
+def leaf_ranks(leaves: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> tuple:
+    """What ``LeafTables`` is made of: thresholds per feature, the first and last rank inside each leaf's bounds, shares, values, groups."""
+    low, high, share, value = leaves
+    both = [np.concatenate([a, b]) for a, b in zip(low, high)]
+    cuts = [np.unique(x[np.isfinite(x)]) for x in both]
+    span = lambda bounds, side: np.array([np.searchsorted(c, x, side) for c, x in zip(cuts, bounds)], dtype="int64")
+    first, last = span(low, "right"), span(high, "left")
+    return cuts, first, last, share, value, grouped_leaves(first, last, np.array([len(c) for c in cuts]))
+
+
+class LeafTables:
+    """The trees as tables that rows are looked up in: a row's SHAP values are a sum of one table row per group of leaves.
+
+    What a leaf gives depends on the features whose bounds a row meets, not on the row's numbers. So every value is told
+    by its rank among the model's thresholds, a group of neighbouring leaves is worked out once for all cells of ranks
+    that differ to it, and rows only look up their cells. Tables above ``KEPT_NUMBERS`` are made again for each call.
+    """
+
+    def __init__(self, cuts: list[np.ndarray], first: np.ndarray, last: np.ndarray, share: np.ndarray, value: np.ndarray,
+                 starts: list[int]) -> None:
+        self.cuts, self.first, self.last, self.share, self.value, self.starts = cuts, first, last, share, value, starts
+        self.ranks = np.array([len(c) for c in cuts], dtype="int64")
+        self.kept: list | None = None
+
+    def tables(self) -> Iterator[tuple[list[tuple[int, np.ndarray]], np.ndarray]]:
+        if self.kept is not None:
+            yield from self.kept
+            return
+        made, numbers = [], 0
+        for a, b in zip(self.starts, self.starts[1:]):
+            one = leaf_table(self.first[:, a:b], self.last[:, a:b], self.ranks, self.share[:, a:b], self.value[a:b])
+            numbers += one[1].size
+            if numbers <= KEPT_NUMBERS:
+                made.append(one)
+            yield one
+        if numbers <= KEPT_NUMBERS:
+            self.kept = made
+
+    def values(self, rows: np.ndarray) -> np.ndarray:
+        at = [np.searchsorted(c, x) for c, x in zip(self.cuts, rows.T)]          # how many thresholds are below
+        phi, cell, step, found = np.zeros(rows.shape), *np.zeros((2, len(rows)), dtype="int64"), np.empty(rows.shape)
+        for steps, table in self.tables():
+            cell[:] = 0
+            for f, adds in steps:
+                cell += np.take(adds, at[f], out=step, mode="clip")
+            phi += np.take(table, cell, axis=0, out=found, mode="clip")
+        return phi
+
+
+def tree_shap_values(leaves: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """SHAP values of every row from the arrays of ``leaf_arrays``."""
+    return LeafTables(*leaf_ranks(leaves)).values(rows)
 
 
 def shap_tree(df: DataFrame, features: list[str], leaves: list[tuple], out: str = "shap_values") -> DataFrame:
     """Exact path-dependent SHAP values of the trees whose leaves are given.
 
-    What is sent to the tasks is three numbers per leaf and feature. Rows and
-    leaves are met in blocks of ``BLOCK_CELLS`` numbers.
+    What is sent to the tasks is three numbers per leaf and feature. Tables are made in the tasks.
     """
-    sent = df.sparkSession.sparkContext.broadcast(leaf_arrays(leaves, len(features)))   # as large as the model
+    sent = df.sparkSession.sparkContext.broadcast(leaf_ranks(leaf_arrays(leaves, len(features))))   # as large as the model
+    made: list[LeafTables] = []         # a task's own
 
     @F.arrow_udf("array<double>")
     def values(rows: pa.Array) -> pa.Array:
         matrix = to_matrix(rows, len(features))
-        parts = [tree_shap_values(sent.value, matrix[at:at + BLOCK_ROWS]) for at in range(0, len(matrix), BLOCK_ROWS)]
+        if not made:
+            made.append(LeafTables(*sent.value))
+        parts = [made[0].values(matrix[at:at + BLOCK_ROWS]) for at in range(0, len(matrix), BLOCK_ROWS)]
         return from_matrix(np.concatenate(parts) if parts else matrix)
 
     return df.withColumn(out, values(F.array(*[F.col(c).cast("double") for c in features])))
