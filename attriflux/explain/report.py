@@ -51,6 +51,14 @@ def explain_rows(df: DataFrame, features: list[str], name: Column, values: str =
     return F.concat_ws("\n", head, F.lit(f"  Top {top_n} factors:"), F.array_join(lines, "\n"))
 
 
+def named_features(explanations: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, explained): how many of the texts of ``explain_rows`` name the feature as a factor; one aggregation."""
+    counts = explanations.agg(*[
+        F.count(F.when(F.col("explanation").contains(f". {c} = "), 1)).alias(f"n{i}") for i, c in enumerate(features)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("explained")) for i, c in enumerate(features)])))
+
+
 def anomaly_explain_table(df: DataFrame, shap: DataFrame, features: list[str], keys: list[str],
                           rows: int | None = None, top_n: int = 3) -> DataFrame:
     """All anomalies (or the latest ``rows``) with their top features and directions.

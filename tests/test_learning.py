@@ -321,3 +321,24 @@ def test_kernel_for_forty_features(spark):
         x, phi = np.array([r[n] for n in names]), np.array(r.shap_values)
         assert phi.sum() == pytest.approx(predict(x[None])[0] - predict(background).mean())
         assert np.allclose(phi[2:], weights[2:] * (x - background.mean(axis=0))[2:], atol=0.02)
+
+
+def test_every_step_of_the_explainer_counts(spark, rows, forecast, anomaly, tmp_path):
+    """Importances come from the saved SHAP values, and the explanations are written and counted."""
+    from attriflux.plans.runs import run_explainer
+    path = str(tmp_path / "explained")
+    out = run_explainer(rows, anomaly.models["logistic_regression"], forecast.models["linear_regression"], path)
+    for task in ("anomaly", "forecaster"):
+        assert all(f"/{task}_shap/" in f for f in out[task].inputFiles())
+    texts = [r.explanation for r in spark.read.parquet(f"{path}/explanations").collect()]
+    assert len(texts) == rows.filter("is_anomaly = 1").count() > 0
+    named = {r.feature: r.explained for r in out["named"].collect()}
+    assert named == {c: sum(any(line.split(". ")[1].startswith(f"{c} =") for line in t.split("\n")[2:]) for t in texts)
+                     for c in ANOMALY_FEATURES}
+    assert sum(named.values()) == 3 * len(texts)
+
+
+def test_run_explainer_shows_its_explanations(spark, folder):
+    got = le.run_explainer(spark, folder).collect()
+    assert sum(r.explained for r in got if r.task == "anomaly") == 3 * le.written_features(spark, folder).filter("is_anomaly = 1").count()
+    assert {r.feature for r in got if r.task == "forecaster" and r.explained is None} == set(FORECAST_FEATURES)
