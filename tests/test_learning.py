@@ -342,3 +342,45 @@ def test_run_explainer_shows_its_explanations(spark, folder):
     got = le.run_explainer(spark, folder).collect()
     assert sum(r.explained for r in got if r.task == "anomaly") == 3 * le.written_features(spark, folder).filter("is_anomaly = 1").count()
     assert {r.feature for r in got if r.task == "forecaster" and r.explained is None} == set(FORECAST_FEATURES)
+
+
+def test_rows_are_split_once_for_all_models(rows):
+    """Every training once made the split again: a hash of all keys, four passes and a join."""
+    for prepare in (mo.prepare_anomaly, mo.prepare_forecast):
+        prepared = prepare(rows)
+        plan = prepared.train._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "xxhash64" not in plan and all("/prepared-" in f for f in prepared.rows.inputFiles())
+        assert prepared.train.count() + prepared.test.count() == rows.filter(F.col(prepared.target).isNotNull()).count()
+
+
+def test_tasks_of_a_training():
+    """Each task costs the same again in every round, so there are no more than cores, and no task without a bound."""
+    assert [mo.even_tasks(n, 8) for n in (0, 1, 100_000, 100_001, 650_000, 4_000_000, 24_000_000)] == [1, 1, 1, 2, 7, 8, 24]
+
+
+def test_models_are_fitted_at_once():
+    from threading import Barrier, Event
+    both, done = Barrier(2, timeout=60), Event()
+
+    def alone():
+        done.set()
+        return "forest"
+
+    def together(name):
+        assert done.is_set()
+        both.wait()             # a fit that waits for the other ends only if they run at once
+        return name
+
+    fits = {("t", "a"): lambda: together("a"), ("t", "random_forest"): alone, ("t", "b"): lambda: together("b")}
+    assert list(mo.fit_all(fits, 1000).items()) == [(("t", "a"), "a"), (("t", "random_forest"), "forest"), (("t", "b"), "b")]
+    one = Event()
+
+    def single(name):
+        assert not one.is_set()
+        one.set()
+        one.clear()
+        return name
+
+    assert list(mo.fit_all({("t", n): lambda n=n: single(n) for n in "ab"}, mo.AT_ONCE_ROWS).values()) == ["a", "b"]
+    with pytest.raises(ValueError):
+        mo.fit_all({("t", "a"): lambda: int("x")}, 10)
